@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -33,13 +34,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; one is made in the temporary folder only where none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        spark.sparkContext.setCheckpointDir(os.path.join(tempfile.gettempdir(), f"vitrine-{os.getpid()}"))
+        root = spark.sparkContext.getCheckpointDir()
+    return root.rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared checkpoint folder, so that later passes neither recompute it nor lose it
-    with an executor. The folder is the session's ``spark.checkpoint.dir``; one is made only where none is set."""
+    """Write df as a table in the shared checkpoint folder and read it back: later passes neither recompute it nor
+    lose it with an executor. The table goes when the application ends."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(os.path.join(tempfile.gettempdir(), f"vitrine-checkpoint-{os.getpid()}"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_root(spark)}/vitrine-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """df, marked for broadcast if a count proves that it has at most ``rows`` rows; else it is joined by shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def blank(col: Column) -> Column:
