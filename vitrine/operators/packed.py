@@ -134,6 +134,20 @@ def readings(text: str, kind: str, cutters: list[tuple[str, re.Pattern]]) -> lis
     return out
 
 
+def values_of(text: str | None, kind: str = "name") -> list[str]:
+    """The values of one text by its own evidence alone; one value for an undivided text, none for a blank one."""
+    if not text or not text.strip(_TRIM):
+        return []
+    read = readings(text, kind, _CUTTERS.setdefault(kind, _cutters(kind)))
+    if not read:
+        one = _quoted(text)
+        return one or [text.strip(_TRIM)]
+    return max(read, key=lambda r: r[2])[1]
+
+
+_CUTTERS: dict[str, list[tuple[str, re.Pattern]]] = {}
+
+
 def _long(df: DataFrame, key: str, source: str, kinds: dict[str, str]) -> DataFrame:
     """One row per non-empty field that holds any candidate delimiter: (key, source, field_name, value)."""
     fields = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("value")) for f in kinds]))
