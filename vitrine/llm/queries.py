@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import canonical, residue, truncated
+from vitrine.llm import canonical, linkage, residue, truncated, variants
 from vitrine.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,28 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each museum cuts each field."""
     return truncated.rates(table(spark, sf_dir, "artifact"))
+
+
+@query()
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of names that mean one person, firm or workshop."""
+    return variants.variant_pairs(table(spark, sf_dir, "artist_alias"))
+
+
+@query()
+def p7_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of the clusters of variants."""
+    c = variants.clusters(table(spark, sf_dir, "artist_alias"))
+    return c.groupBy("cluster").agg(F.count("*").alias("spellings")).groupBy("spellings").agg(F.count("*").alias("clusters"))
+
+
+@query()
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every object and the partner entry that describes it."""
+    return linkage.link(table(spark, sf_dir, "object_record"), table(spark, sf_dir, "artifact"), table(spark, sf_dir, "vocab_term")).drop("confidence")
+
+
+@query()
+def p3_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs with their confidence."""
+    return linkage.link(table(spark, sf_dir, "object_record"), table(spark, sf_dir, "artifact"), table(spark, sf_dir, "vocab_term"))

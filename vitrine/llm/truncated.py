@@ -5,7 +5,7 @@ group (column, script, prose or note). For the last characters of a text it hold
 that a text *ends* after this context, and that it *goes on*; each order backs off to the next shorter one, and a text
 never votes for its own end. A text has lost its end where the log-odds of an end stay below the threshold of its
 group. Marks that a transfer leaves behind (an ellipsis set by the exporter, a broken character, tag or entity) are
-taken off first, so that the model judges the wording; a broken character, tag or entity alone proves the cut.
+taken off first, so that the model learns from the wording alone; a text that bears one is cut whatever stands before it.
 """
 
 from __future__ import annotations
@@ -146,7 +146,7 @@ def cut_off(df: DataFrame, key: str = "seq", fields: tuple[str, ...] = FIELDS) -
     named are ignored.
     """
     scored = end_odds(df, fields)
-    lost = cut(scored.where((F.col("mark") == 2) | (F.col("odds") < F.col("threshold"))).select("field", "h"))
+    lost = cut(scored.where((F.col("mark") > 0) | (F.col("odds") < F.col("threshold"))).select("field", "h"))
     rows = _long(df, fields, F.col(key).alias("key")).join(small(lost, RESULT_ROWS), ["field", "h"], "left_semi")
 
     def real(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
