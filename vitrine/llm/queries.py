@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import canonical, linkage, residue, truncated, variants
+from vitrine.llm import canonical, leakage, linkage, packing, residue, sentences, truncated, variants
 from vitrine.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,35 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p3_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pairs with their confidence."""
     return linkage.link(table(spark, sf_dir, "object_record"), table(spark, sf_dir, "artifact"), table(spark, sf_dir, "vocab_term"))
+
+
+@query()
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test item and the document that holds a passage of it."""
+    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item")).select("item_id", "doc_id")
+
+
+@query()
+def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per test item that leaked: documents concerned and its longest passage."""
+    found = leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
+    return found.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("longest"))
+
+
+@query()
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The container of every text, and of every piece of one that is longer than a container."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query()
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers, tokens and the share of room used."""
+    per = packing.pack(table(spark, sf_dir, "documents")).groupBy("container").agg(F.sum("tokens").alias("tokens"))
+    return per.agg(F.count("*").alias("containers"), F.sum("tokens").alias("tokens"), F.max("tokens").alias("fullest"), (F.sum("tokens") / (F.count("*") * packing.CAPACITY)).alias("used"))
+
+
+@query()
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sentence of every document."""
+    return sentences.split_sentences(table(spark, sf_dir, "documents"))
