@@ -32,7 +32,7 @@ LAST_ABBREVIATIONS = set("co ltd inc corp jr al etc a.m p.m am pm ph.d m.a b.a u
 #: Months and words that follow a German ordinal.
 ORDINAL = re.compile(r"(?:Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember|Jahrhundert|Jh\b|Auflage|Band|Kapitel)")
 #: Verbs of saying that carry a sentence on after a quotation, where letters have no case.
-SAYING = re.compile(r"^[^。！？।\n，,；;]{0,24}(?:道|说|說|问|問|曰|写|寫|पूछा|कहा|बोला|बोली|लिखा|と)")
+SAYING = re.compile(r"^(?:と|[^。！？।\n，,；;：:]{0,30}(?:道|说|說|问|問|曰|云|पूछा|कहा|बोला|बोली|लिखा)\s*[，,。।])")
 
 _CJK = r"㐀-鿿぀-ヿ豈-﫿ｦ-ﾟ"
 _THAI = r"฀-๿"
@@ -40,7 +40,7 @@ _CLOSE = r"[\"'”“’»」』）)\]】〉》]"
 _CLOSE_WIDE = _CLOSE.replace("“", "")
 _OPEN = "\"'“‘„«「『（([【〈《¿¡"
 _MARK = re.compile(
-    rf"(?P<mark>[.!?…‽]+(?:\s*»)?{_CLOSE}*)(?=\s|$)|(?P<wide>[。！？｡．]+{_CLOSE_WIDE}*|[।॥؟۔]+{_CLOSE}*(?=\s|$))|(?P<line>[ \t　]*\n[ \t　]*)|(?P<space>(?<=[{_CJK}{_THAI}])[   　]+(?=[{_CJK}{_THAI}“「『《]))"
+    rf"(?P<mark>[.!?…‽]+(?:\s*»)?{_CLOSE}*)(?=\s|$)|(?P<wide>[。！？｡．]+{_CLOSE_WIDE}*|[।॥؟۔]+{_CLOSE}*(?=\s|$))|(?P<line>[ \t　]*\n[ \t　]*)|(?P<space>(?<=[{_CJK}{_THAI}])[   　]+(?=[{_CJK}{_THAI}“「『《])|(?<=[{_CJK}])[   　]+(?=\d))"
 )
 _BLANK = re.compile(r"\n[ \t　\r]*(?:\n[ \t　\r]*)+")
 _BULLET = re.compile(r"[ \t　]*(?:[-–—•◦▪‣*·●○]|\(?\d{1,3}[.)](?!\d)|\(?[a-zA-Z][)])[ \t　]+\S")
@@ -63,7 +63,7 @@ def _end_score(text: str, at: int, m: re.Match, stop: int, wrapped_cjk: bool) ->
     dash = after[:1] in "-–—"
     if m.lastgroup in ("line", "space"):
         before = text[max(at, m.start() - 1) : m.start()]
-        if m.lastgroup == "space" or re.match(f"[{_CJK}{_THAI}]", before or " ") and re.match(rf"[{_CJK}{_THAI}{_OPEN}]", after[:1]):
+        if m.lastgroup == "space" or re.match(f"[{_CJK}{_THAI}]", before or " ") and re.match(rf"[{_CJK}{_THAI}{_OPEN}]|(?<![{_THAI}])\d", after[:1]) and not (re.match(f"[{_THAI}]", before) and first.isdigit()):
             if re.search("[，,、；;：:]$", before):
                 return -5.0
             return 3.0 if not wrapped_cjk or re.match(f"[{_THAI}]", before) else -3.0
@@ -82,7 +82,7 @@ def _end_score(text: str, at: int, m: re.Match, stop: int, wrapped_cjk: bool) ->
     if first.islower() and not re.match(r"[a-z][A-Z]", after):
         return -6.0
     word = _WORD.search(text[at : m.start()])
-    w = word[0].lower().strip("'’-") if word else ""
+    w = re.sub(r"^\W+", "", word[0].lower()).strip("'’-") if word else ""
     if word and re.fullmatch(r"[A-ZÀ-ÞЀ-Я]", word[0]):
         return -6.0  # an initial
     opens = first.isupper() or bool(re.match(r"[a-z][A-Z]", after)) or after[:1] in _OPEN or first.isdigit() or bool(_CASELESS.match(first or " "))
