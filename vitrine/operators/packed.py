@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.runtime import map_rows, small
+from vitrine.runtime import cut, map_rows, small
 
 #: Largest prior table that is broadcast; a larger one is joined by shuffle.
 PRIOR_ROWS = 50_000
@@ -193,7 +193,7 @@ def split_packed(df: DataFrame, key: str = "seq", source: str = "museum_id", kin
     kinds = kinds or KINDS
     values = _long(df, key, source, kinds)
     priors = infer_delimiters(df, source, kinds).groupBy("source", "field_name").agg(F.map_from_entries(F.collect_list(F.struct("notation", "score"))).alias("prior"))
-    priors = small(priors, PRIOR_ROWS)
+    priors = small(cut(priors), PRIOR_ROWS)
     kind_of = kinds
 
     def make() -> Callable[..., Iterable[tuple]]:
