@@ -224,4 +224,4 @@ def from_pages(df: DataFrame, url: str = "url", html: str = "html", museum_id: i
 def page_links(df: DataFrame, html: str = "html", base: str = "") -> DataFrame:
     """Distinct object addresses in listing pages, absolute, without parameters."""
     found = F.explode(F.regexp_extract_all(F.col(html), F.lit(r'href="([^"]*/objects?/\d+[^"]*)"'), 1))
-    return df.select(F.regexp_replace(found, "[;?].*$", "").alias("u")).select(F.when(F.col("u").startswith("http"), F.col("u")).otherwise(F.concat(F.lit(base), "u")).alias("detail_url")).distinct()
+    return df.select(found.alias("u")).select(F.regexp_replace("u", "[;?].*$", "").alias("u")).select(F.when(F.col("u").startswith("http"), F.col("u")).otherwise(F.concat(F.lit(base), "u")).alias("detail_url")).distinct()

@@ -35,6 +35,9 @@ _LIST = re.compile(rf"\s*\[?\s*{_QUOTED}(?:\s*[,;|、\n]\s*{_QUOTED})*\s*[,;|]?\
 _ONE = re.compile(_QUOTED)
 _BRACKET = re.compile(r"\([^()]*\)|（[^（）]*）|\[[^\[\]]*\]")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
+#: What ends a firm's name, and what names a workshop by its place.
+_SUFFIX = re.compile(r"(?:co|comp|company|sons|bros|inc|ltd)\b\.?", re.I)
+_PLACED = re.compile(r"(?:house|hall|workshop|studio)\b", re.I)
 _TRIM = " \t\r\n 　​﻿"
 _SHAPE = {
     "url": re.compile(r"https?://(?:(?!https?://)\S)*[^\s;,|]"),
@@ -71,7 +74,8 @@ def _join_names(pieces: list[str], glue: str) -> list[str]:
     for piece in pieces:
         last = out[-1] if out else ""
         family = re.sub(r"^(?:messrs\.?|attributed to|attr\.|the)\s+", "", last, flags=re.I)
-        if out and (_one_word(family) or _one_word(piece) or glue != ", " and re.fullmatch(r"\S+, \S+", family)):
+        back = _SUFFIX.fullmatch(piece) or glue == ", " and _one_word(piece) and _PLACED.match(family)
+        if out and (back or _one_word(family) or glue != ", " and re.fullmatch(r"\S+, \S+", family)):
             out[-1] = last + glue + piece
         else:
             out.append(piece)

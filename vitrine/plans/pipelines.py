@@ -25,6 +25,8 @@ def clean(df: DataFrame, checks: DataFrame | None = None, drop_imageless: bool =
 
 def with_seq(df: DataFrame) -> DataFrame:
     """standardise, with the seq column carried through the record's columns."""
+    if "source_updated_at" not in df.columns:
+        df = df.withColumn("source_updated_at", F.lit(""))
     carrier = df.withColumn("source_updated_at", F.concat_ws("\u0001", F.col("seq").cast("string"), F.coalesce(F.col("source_updated_at").cast("string"), F.lit(""))))
     out = standardise(carrier)
     return out.withColumn("seq", F.split_part("source_updated_at", F.lit("\u0001"), F.lit(1)).cast("long")).withColumn("source_updated_at", F.split_part("source_updated_at", F.lit("\u0001"), F.lit(2)))
