@@ -52,6 +52,8 @@ def from_wade(syllable: str) -> str | None:
     head, rest = next(((p, s[len(w) :]) for w, p in _INITIALS if s.startswith(w)), ("", s))
     if not head:
         head, rest = (s[0], s[1:]) if s and s[0] in "mfnlhsyw" else ("", s)
+    if not head and s[:1] not in tuple("aeioêü"):
+        return None
     plain = _FINALS.get(rest, rest)
     if head in ("zh", "ch"):
         if rest == "ih":

@@ -31,6 +31,8 @@ SHORT = 2
 BITS = 10
 #: Strength of the back-off to the next shorter context.
 BACKOFF = 20.0
+#: Places at which the last character must have been seen before its ends and continuations tell anything.
+EVIDENCE = 25
 #: The log-odds threshold of a group is the log-odds of an end at a place taken at random, plus this.
 MARGIN = 1.1
 #: Longest text without any sentence end that may be a note.
@@ -114,7 +116,7 @@ def _long(df: DataFrame, fields: tuple[str, ...], *keep: Column) -> DataFrame:
 
 def end_odds(df: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """Per distinct text (field, h): group g, log-odds of an end after its last characters, threshold of the group, mark
-    and length. Empty input gives an empty table."""
+    and length; no odds where the group has too little text to tell. Empty input gives an empty table."""
     distinct = _long(df, fields).groupBy("field", "h").agg(F.first("text").alias("text"))
     every = cut(distinct.select("field", "h", "text").mapInArrow(_count, "what int, field int, h long, g int, code long, n long, mark int, head long"))
     texts = every.where("what = 0")
@@ -134,8 +136,8 @@ def end_odds(df: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
         return F.log(rate / (1 - rate))
 
     both = (log_odds(SHORT) + log_odds(ORDER)) / 2
-    odds = steps.select("g", "code", both.alias("odds"), (F.log(F.col("base") / (1 - F.col("base"))) + MARGIN).alias("threshold"))
-    return texts.select("field", "h", "g", "code", "mark", F.col("n").alias("chars")).join(odds, ["g", "code"])
+    odds = steps.where(F.col("steps")[0]["n"] >= EVIDENCE).select("g", "code", both.alias("odds"), (F.log(F.col("base") / (1 - F.col("base"))) + MARGIN).alias("threshold"))
+    return texts.select("field", "h", "g", "code", "mark", F.col("n").alias("chars")).join(odds, ["g", "code"], "left")
 
 
 def cut_off(df: DataFrame, key: str = "seq", fields: tuple[str, ...] = FIELDS) -> DataFrame:
