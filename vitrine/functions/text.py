@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Punctuation that a key drops, and texts that mean nothing.
+#: Unicode white space, punctuation that a key drops, and texts that mean nothing.
+_WHITE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _DROPPED = r"[，,。.;；:：!！?？\"'()（）\[\]{}]"
 _NOTHING = ("none", "null", "nan")
 #: How an attribution may begin, and what institutions and dealers are called.
@@ -27,7 +28,7 @@ def let(x: Column, body: Callable[[Column], Column]) -> Column:
 
 def strip(x: Column | str) -> Column:
     """Without Unicode white space at the ends; NULL as empty."""
-    return F.regexp_replace(F.coalesce(c(x).cast("string"), F.lit("")), r"(?U)^\s+|\s+$", "")
+    return F.btrim(F.coalesce(c(x).cast("string"), F.lit("")), F.lit(_WHITE))
 
 
 def squeeze(x: Column | str) -> Column:

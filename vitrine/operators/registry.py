@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import periods
 from vitrine.functions.materials import with_materials
-from vitrine.functions.text import artist_key, artist_segments, entity_uri, lookup_name, norm_key, slug, split_artists, split_cultures, strip
+from vitrine.functions.text import artist_key, artist_segments, entity_uri, let, lookup_name, norm_key, slug, split_artists, split_cultures, strip
 from vitrine.schema import COLUMNS
 
 #: Entity type, predicate.
@@ -37,7 +37,7 @@ def mentions(df: DataFrame) -> DataFrame:
     a record names, in order. The maker's external id counts for the maker the field would be looked up by, or the only one."""
     rows = _prepare(df)
     item = lambda role, kind, label, norm=None, field=None: F.struct(F.lit(role).alias("role"), F.lit(kind).alias("entity_type"), label.alias("label"), (norm if norm is not None else norm_key(label)).alias("norm"), F.lit(field or role).alias("field_name"))
-    some = lambda role, kind, label, **k: F.array_compact(F.array(F.when(label != "", item(role, kind, label, **k))))
+    some = lambda role, kind, label, **k: F.array_compact(F.array(let(label, lambda v: F.when(v != "", item(role, kind, v, **k)))))
     era = F.when(strip("dynasty") != "", strip("dynasty")).otherwise(periods.era("period", F.expr("try_cast(trim(period_start_year) AS int)"), F.expr("try_cast(trim(period_end_year) AS int)")))
     museum = F.when(strip("museum") != "", strip("museum")).otherwise(F.concat(F.lit("Museum-"), "museum_id"))
     rows = rows.withColumn("__era", era)
