@@ -206,3 +206,28 @@ def test_against_sql(spark, name):
     columns = [c[0] for c in want.description]
     got = QUERIES[name](spark, d).select(*columns)
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want.fetchall()))
+
+
+def test_lookups_and_pieces(spark):
+    from vitrine.functions import lookup
+
+    df = spark.createDataFrame([([("normal", "+1700-05-03T00:00:00Z", 11), ("preferred", "-0519-00-00T00:00:00Z", 9)], ["Q5"], {"en": "painter", "zh": " "}), (None, None, None)], "claims array<struct<rank:string,time:string,precision:int>>, p31 array<string>, d map<string,string>")
+    got = df.select(lookup.best_time("claims").alias("t"), lookup.is_human("p31").alias("h"), lookup.in_languages("d").alias("d")).collect()
+    assert [tuple(r) for r in got] == [("0519", True, "painter"), ("", False, "")]
+    text = "One two. " * 1000
+    assert all(len(p) <= 100 for p in lookup.pieces(text, 100)) and "".join(lookup.pieces(text, 100)).replace(" ", "") == text.replace(" ", "")
+    assert lookup.pieces("x" * 250, 100) == ["x" * 100, "x" * 100, "x" * 50]
+    assert lookup.in_pieces(spark.createDataFrame([(1, "a b"), (2, None)], "k int, t string"), "k", "t").count() == 1
+
+
+def test_files_of_images_and_catalog(spark):
+    from vitrine.sources import catalog
+
+    df = spark.createDataFrame([(1, "a", "old", "", 9), (1, "b", "images/x.jpg", "images/x.jpg | /abs/y.jpg", 1)], "museum_id int, object_id string, image_path string, image_paths string, image_count int")
+    fs = spark.createDataFrame([(1, "a", "p2"), (1, "a", "p1")], "museum_id int, object_id string, path string")
+    got = {r.object_id: (r.image_path, r.image_paths, r.image_count) for r in images.with_files(df, fs).collect()}
+    assert got == {"a": ("p1", "p1 | p2", 2), "b": ("", "", 0)}
+    assert images.moved(df.where("object_id = 'b'"), "/srv").first().image_paths == "/srv/images/x.jpg | /abs/y.jpg"
+    df.createOrReplaceTempView("some_images")
+    assert catalog.columns(spark).where("name = 'some_images'").count() == 5
+    assert rows(catalog.table_counts(spark, ["some_images", "none_such"])) == [("some_images", 2)]

@@ -38,3 +38,17 @@ def complete(df: DataFrame) -> DataFrame:
     """df with ``images_complete``: as many local paths as URLs, and at least one."""
     n, m = F.size(split_paths("image_urls")), F.size(split_paths("image_paths"))
     return df.withColumn("images_complete", (n > 0) & (m >= n))
+
+
+def with_files(df: DataFrame, files: DataFrame) -> DataFrame:
+    """Records with their local image columns set from files(museum_id, object_id, path): paths in order, the first one
+    as main, and their number. Records without files have blank columns and 0."""
+    per = files.groupBy("museum_id", "object_id").agg(F.array_sort(F.collect_set("path")).alias("__p"))
+    out = df.drop("image_path", "image_paths", "image_count").join(per, ["museum_id", "object_id"], "left").withColumn("__p", F.coalesce("__p", F.array().cast("array<string>")))
+    out = out.withColumns({"image_path": F.coalesce(F.get("__p", F.lit(0)), F.lit("")), "image_paths": F.array_join("__p", " | "), "image_count": F.size("__p")})
+    return out.select(*df.columns, *[c for c in ("image_path", "image_paths", "image_count") if c not in df.columns])
+
+
+def moved(df: DataFrame, prefix: str, columns: tuple[str, ...] = ("image_path", "image_paths")) -> DataFrame:
+    """Records whose relative image paths are put under a prefix; absolute ones stay."""
+    return df.withColumns({c: F.regexp_replace(F.col(c), r"(^|\|\s*)(?![/\s]|\w+:)(?=\S)", f"$1{prefix.rstrip('/')}/") for c in columns})
