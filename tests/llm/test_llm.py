@@ -210,6 +210,16 @@ def test_variants(spark):
     assert read(None) == [] and read("???") == []
 
 
+@pytest.mark.parametrize("order", [(1, 2, 3), (1, 3, 2)])
+def test_undated_names_chain_homes(spark, order):
+    chinese, romanised, pseudonym = order
+    people = [(chinese, "段鹤贤", 1189), (romanised, "Duan Hexian", 1189), (pseudonym, "Hexi Shanren", 1189), (4, "段鹤贤（Duan Hexian）", None), (5, "Duan Hexian (hao Hexi Shanren)", None), (6, "Hexi Shanren", 1400)]
+    df = spark.createDataFrame([(*p, None) for p in people], "alias_id long, alias string, birth_year int, death_year int")
+    assert {tuple(r) for r in variants.variant_pairs(df.where("alias_id < 6")).collect()} == set(combinations(range(1, 6), 2))
+    got = {tuple(r) for r in variants.variant_pairs(df).collect()}
+    assert not any(6 in p for p in got) and (chinese, 4) in got
+
+
 # ---- 8 ----
 
 

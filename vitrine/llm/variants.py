@@ -211,9 +211,9 @@ def clusters(names: DataFrame, key: str = "alias_id") -> DataFrame:
     spelled = lonely.join(notes, "node").select("group", F.explode("short").alias("s"), F.col("middle").alias("m"))
     meet = bare.join(spelled, "s").where("middle = '' OR m = '' OR middle = m").select("home", "group").distinct()
     one = meet.groupBy("group").agg(F.count("*").alias("n"), F.min("home").alias("home")).where("n = 1").join(meet.groupBy("home").agg(F.count("*").alias("k")).where("k = 1"), "home")
-    # homes that one undated name holds together become the smallest of them
-    pick = joined.groupBy("a").agg(F.min("b").alias("to"))
-    merged = joined.join(pick, "a").groupBy(F.col("b").alias("home")).agg(F.min("to").alias("to"))
+    # homes that undated names hold together, also over other homes, become the smallest of them
+    pick = cut(joined.groupBy("a").agg(F.min("b").alias("to")))
+    merged = components(joined.join(pick, "a").where("b <> to").select("to", "b").distinct(), "to", "b").select(F.col("node").alias("home"), F.col("component").alias("to"))
     at_home = home.select("node", "home").unionByName(pick.select(F.col("a").alias("node"), F.col("to").alias("home")))
     rest = lonely.join(one.select("group", "home"), "group", "left").select("node", F.coalesce("home", "group").alias("home"))
     every = cut(at_home.unionByName(rest).join(merged, "home", "left").select("node", F.coalesce("to", "home").alias("component")))
