@@ -84,6 +84,27 @@ def test_residue_spreads_to_near_copies_and_spares_prose(spark):
     assert residue.residue(artifacts(spark, rows[3:4])).count() == 0
 
 
+def test_residue_spreads_to_every_similar_text_by_brute_force(spark):
+    rnd = random.Random(4)
+    words = ["bowl", "lotus", "heron", "willow", "bridge", "ivory", "garden", "scroll", "mist", "plum", "crane", "ink", "carp", "jade", "silk", "river"]
+    texts = []
+    for n in range(40):
+        base = ["error", "code", "404", "on", *rnd.choices(words, k=rnd.randrange(12, 24)), str(n)]
+        texts.append(" ".join(base))
+        for _ in range(12):
+            near = [w for w in base if w not in ("error", "code", "404")]
+            for _ in range(rnd.randrange(1, 3)):
+                near[rnd.randrange(len(near))] = rnd.choice(words)
+            texts.append(" ".join(near))
+    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "h long, segment string, skeleton string")
+    want = {i for i, t in enumerate(texts) if residue.kind(t) == 2}
+    pairs = [(i, j) for i, j in combinations(range(len(texts)), 2) if residue.jaccard(texts[i], texts[j]) >= residue.SIMILARITY]
+    trusted = len(want)
+    while grown := {x for p in pairs for x in p if want & set(p)} - want:
+        want |= grown
+    assert len(want) > 2 * trusted and {r.h for r in residue.label_segments(df).collect()} == want
+
+
 def test_two_blocks_meet_within_six_bits():
     rnd = random.Random(2)
     for _ in range(300):
