@@ -144,6 +144,18 @@ def test_linkage(spark):
     assert linkage.link(r, artifacts(spark, []), vocab).count() == 0
 
 
+def test_blocking_brings_similar_entries_together(spark):
+    maker = "Eleanor E. Hartelwick"
+    rows = [
+        (0, "Burnished plaque with wild geese along a river", "2017.148.10", maker, ""), (1, "Burnished plaque wth wild geese along a river", None, maker, ""),
+        (2, "Carved bowl", "2011.5.3", maker, "Ming"), (3, "A carved bowl", None, maker, ""), (4, "Bowl carved with carp", None, maker, ""), (5, "Vase", "1999.7.1", maker, "Ming"), (6, "The vase", None, maker, "Ming"),
+        (7, None, "1950.31.8", None, "Ming"), (8, None, "1950.97.8", None, "Ming"), (9, None, None, maker, "Ming"), (10, "Vase", None, None, "Ming"),
+    ]
+    df = spark.createDataFrame(rows, "id long, title string, number string, maker string, era string")
+    keys = {r.id: set(r["keys"]) for r in linkage.standardise(df, "id", {c: c for c in ("title", "number", "maker", "era")}, [(1, "ming")]).collect()}
+    assert {(i, j) for i, j in combinations(range(len(rows)), 2) if keys[i] & keys[j]} == {(0, 1), (2, 3), (2, 4), (3, 4), (5, 6), (7, 8)}
+
+
 @pytest.mark.parametrize(("a", "b", "level"), [("F1955.297.2", "acc. F.55/297/2", 4), ("1975.100.2", "75 0100 02", 4), ("1.2.3", "L657.7", 2), (None, "1.2.3", 2), ("1977.22.3", "1977.22.1", 3), ("1977.22.3", "1977.22.41", 1), ("1977.22.3", "1955.9.7", 0), ("F1955.297.2", "1955.297.2", 3)])
 def test_numbers(a, b, level):
     assert linkage.number_level(linkage.number(a), linkage.number(b)) == level
