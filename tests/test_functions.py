@@ -45,13 +45,13 @@ def test_keys(spark):
 
 
 @pytest.mark.parametrize(("value", "found", "main"), [("Ink on paper", ["paper", "ink"], "paper"), ("Gilt bronze", ["bronze", "gold"], "bronze"), ("Album leaf; ink, color and gold on silk", ["silk", "pigment", "gold", "ink"], "silk"), ("handscroll", [], ""), ("", [], "")])
-def test_materials(value, found, main):
-    assert materials(value) == found and primary(found) == main
+def test_materials(spark, value, found, main):
+    assert one(spark, materials(F.lit(value))) == found and one(spark, primary(materials(F.lit(value)))) == main
 
 
-def test_cleaned_material():
-    assert cleaned("Bronze; H x W x D: 10 x 20 cm; bronze") == "Bronze"
-    assert cleaned(None) == ""
+def test_cleaned_material(spark):
+    assert one(spark, cleaned(F.lit("Bronze; H x W x D: 10 x 20 cm; bronze"))) == "Bronze"
+    assert one(spark, cleaned(F.lit(None).cast("string"))) == ""
 
 
 def test_material_columns(spark):

@@ -39,3 +39,11 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert measured(df.limit(0)).count() == 0
     long = spark.createDataFrame([(1, "5 cm; " * 5000)], "seq long, dimensions string")
     assert measured(long).count() == 5000
+
+
+@pytest.mark.parametrize("text", ["1234567890123 mm", "9" * 400 + " cm", "1/" + "9" * 400 + " m", "9" * 30 + " in"])
+def test_oversized_numbers_stop_nothing(spark, text):
+    df = spark.createDataFrame([(1, text), (2, "5 cm")], "seq long, dimensions string")
+    rows = {r.seq: r.amount for r in measured(df).collect() if r.pos == 1}
+    assert rows[2] == 50
+    assert text != "1234567890123 mm" or rows[1] == 1234567890123

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions import classify, materials, periods, text, urls
-from vitrine.runtime import map_rows
+from vitrine.runtime import join_keyed, map_rows
 from vitrine.schema import COLUMNS, texts
 
 #: An object API's record. What may be a text, an object or a list is kept as JSON text.
@@ -56,21 +56,25 @@ def finalize(df: DataFrame, museums: DataFrame | None = None) -> DataFrame:
     out = texts(df)
     out = out.select(*[text.value(c).alias(c) for c in COLUMNS])
     if museums is not None:
-        meta = F.broadcast(museums.select(F.col("museum_id").cast("string").alias("museum_id"), F.col("museum").alias("__m"), F.col("location").alias("__l")).dropDuplicates(["museum_id"]).limit(10_000))
-        out = out.join(meta, "museum_id", "left").withColumn("museum", F.when(F.col("museum") == "", F.coalesce("__m", F.lit(""))).otherwise(F.col("museum")))
+        named = museums.select(F.col("museum_id").cast("string").alias("museum_id"), F.struct("museum", "location").alias("__of"))
+        meta = named.groupBy("museum_id").agg(F.min("__of").alias("__of")).select("museum_id", F.col("__of.museum").alias("__m"), F.col("__of.location").alias("__l"))
+        out = join_keyed(out, meta, ["museum_id"]).withColumn("museum", F.when(F.col("museum") == "", F.coalesce("__m", F.lit(""))).otherwise(F.col("museum")))
         out = out.withColumn("location", F.when(F.col("location") == "", F.coalesce("__l", F.lit(""))).otherwise(F.col("location")))
     out = out.withColumn("title", F.when(F.col("title") == "", "(untitled)").otherwise(F.col("title")))
     return supplement(out.select(*COLUMNS)).select(*[text.value(c).alias(c) for c in COLUMNS])
 
 
-def standardise(df: DataFrame) -> DataFrame:
-    """A text record in standard form: dates, years read out of the period, types, clean materials, then supplement."""
-    out = texts(df).select(*[text.strip(c).alias(c) for c in COLUMNS])
+def standardise(df: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """A text record in standard form: dates, years read out of the period, types, clean materials, then supplement.
+    Columns named in ``carry`` are kept beside the record as they are."""
+    have = set(df.columns)
+    cells = [text.strip(c).alias(c) if c in have else F.lit("").alias(c) for c in COLUMNS]
+    out = df.select(*cells, *carry)
     out = out.withColumns({c: periods.iso_date(c) for c in ("crawl_date", "artist_enriched_at", "artist_birth", "artist_death")})
     out = out.withColumn("__y", periods.period_years("period"))
-    out = out.withColumn("period_start_year", F.coalesce(F.col("__y.start").cast("string"), "period_start_year")).withColumn("period_end_year", F.coalesce(F.col("__y.end").cast("string"), "period_end_year")).drop("__y")
-    out = materials.with_materials(out.withColumn("type", classify.standard_type("type")))
-    return supplement(out.withColumn("material", F.col("material_clean")).select(*COLUMNS)).select(*COLUMNS)
+    years = {c: F.coalesce(F.col(f"__y.{end}").cast("string"), c) for c, end in (("period_start_year", "start"), ("period_end_year", "end"))}
+    out = out.withColumns(years).withColumns({"type": classify.standard_type("type"), "material": materials.cleaned("material")})
+    return supplement(out.select(*COLUMNS, *carry)).select(*COLUMNS, *carry)
 
 
 def flexible(x: Column) -> Column:

@@ -79,7 +79,26 @@ def since(df: DataFrame, mark: str, column: str = "source_updated_at") -> DataFr
     return df.where((v == "") | (v > mark))
 
 
-def last_known(df: DataFrame, partition: str, value: str, order: str) -> DataFrame:
-    """df with ``known``: the row's own value, else the last one of its partition before it."""
-    w = Window.partitionBy(partition).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("known", F.last(F.nullif(F.col(value), F.lit("")), ignorenulls=True).over(w))
+#: Orders that share one stretch of the scan for the last known value.
+STRETCH_BITS = 16
+
+
+def last_known(df: DataFrame, partition: str | list[str], value: str, order: str, sub: str | None = None) -> DataFrame:
+    """df with ``known``: the row's own value, else the last one of its partition before it; blank values are none.
+
+    The order, a whole number, is cut into stretches. The last value of every stretch of a key is pre-aggregated, what a
+    stretch inherits is looked up among the few stretches of its key, and rows are scanned inside their stretch only, so
+    a key that holds a large share of the rows is spread over many tasks. ``sub`` orders rows of one order. A NULL
+    partition is a key like any other; an empty table gives no rows.
+    """
+    keys = [partition] if isinstance(partition, str) else partition
+    at = F.struct(order, sub) if sub else F.struct(order)
+    own = F.nullif(F.col(value).cast("string"), F.lit(""))
+    rows = df.withColumns({"__v": own, "__s": F.shiftright(F.col(order).cast("long"), STRETCH_BITS), **{f"__p{i}": F.coalesce(F.col(k).cast("string"), F.lit("\0")) for i, k in enumerate(keys)}})
+    names = [f"__p{i}" for i in range(len(keys))]
+    ends = rows.groupBy(*names, "__s").agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), at)).alias("__end"))
+    before = Window.partitionBy(*names).orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    inherited = ends.withColumn("__in", F.last("__end", ignorenulls=True).over(before)).select(*names, "__s", "__in")
+    within = Window.partitionBy(*names, "__s").orderBy(*([order, sub] if sub else [order])).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scanned = rows.withColumn("__last", F.last("__v", ignorenulls=True).over(within)).join(inherited, [*names, "__s"], "left")
+    return scanned.withColumn("known", F.coalesce("__last", "__in")).select(*df.columns, "known")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions.text import strip
-from vitrine.runtime import cut
+from vitrine.runtime import cut, join_keyed
 
 
 def staged(df: DataFrame, stages: list[tuple[str, list[Column]]], order: list[str]) -> DataFrame:
@@ -15,19 +15,25 @@ def staged(df: DataFrame, stages: list[tuple[str, list[Column]]], order: list[st
     Each stage has a name and key columns; among the rows that earlier stages left and whose last key isn't empty, the
     first by ``order`` claims the key. A row that lost a key still blocks it no more: a claim belongs to survivors of the
     stages before. NULL keys count as empty; ties of the whole order are broken arbitrarily, so it should be unique.
-    Every stage aggregates (first owner of each key, pre-aggregated per task) and joins, so a hot key costs one group.
+    Every stage aggregates (first owner of each key, pre-aggregated per task) and joins keys only; a hot key, such as a
+    blank id, is joined where its rows are.
     """
-    out = df.withColumns({"reason": F.lit(None).cast("string"), "kept_by": F.struct(*order)})
-    for name, keys in stages:
-        keyed = out.withColumns({f"__k{i}": F.coalesce(k.cast("string"), F.lit("")) for i, k in enumerate(keys)})
-        names = [f"__k{i}" for i in range(len(keys))]
-        live = F.col("reason").isNull() & ((F.col(names[-1]) != "") if len(keys) > 1 and not name.endswith("id") else F.lit(True))
-        owners = keyed.where(live).groupBy(*names).agg(F.min(F.struct(*order)).alias("__owner"))
-        joined = keyed.withColumn("__live", live).join(owners, names, "left")
-        lost = F.col("__live") & (F.col("__owner") != F.struct(*order))
-        out = joined.withColumn("reason", F.when(lost, name).otherwise(F.col("reason"))).withColumn("kept_by", F.when(lost, F.col("__owner")).otherwise(F.col("kept_by"))).drop(*names, "__owner", "__live")
-        out = cut(out)
-    return out
+    # the stages look at keys only; the rows meet their reasons once, at the end
+    names = [[f"__k{n}_{i}" for i in range(len(keys))] for n, (_, keys) in enumerate(stages)]
+    cells = {k: F.coalesce(x.cast("string"), F.lit("")) for (_, keys), ks in zip(stages, names) for k, x in zip(ks, keys)}
+    slim = cut(df.select(F.struct(*order).alias("__at"), *[x.alias(k) for k, x in cells.items()]))
+    live, lost = slim, []
+    for (name, keys), ks in zip(stages, names):
+        open_to = F.lit(True) if len(keys) == 1 or name.endswith("id") else F.col(ks[-1]) != ""
+        owners = live.where(open_to).groupBy(*ks).agg(F.min("__at").alias("__owner"))
+        beaten = cut(join_keyed(live.where(open_to), owners, ks, "inner").where("__owner <> __at").select("__at", F.lit(name).alias("reason"), F.col("__owner").alias("kept_by")))
+        lost.append(beaten)
+        live = live.join(beaten.select("__at"), "__at", "left_anti")
+    reasons = lost[0]
+    for x in lost[1:]:
+        reasons = reasons.unionByName(x)
+    found = df.withColumn("__at", F.struct(*order)).join(reasons, "__at", "left")
+    return found.withColumn("kept_by", F.coalesce("kept_by", "__at")).drop("__at").select(*df.columns, "reason", "kept_by")
 
 
 def artifacts(df: DataFrame, order: str = "seq") -> DataFrame:
@@ -45,5 +51,8 @@ def first_seen(df: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:
 
 def best_by_key(df: DataFrame, keys: list[str], score: str, order: str) -> DataFrame:
     """Row of the highest score of each key, first by order of equals."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(score), order)
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    rest = [c for c in df.columns if c not in keys]
+    # nothing scores less than no score; of equals the first by order, so the order counts downwards
+    first = df.groupBy(*keys, score).agg(F.min_by(F.struct(*[c for c in rest if c != score]), F.col(order)).alias("__r"))
+    best = first.groupBy(*keys).agg(F.max_by(F.struct(F.col(score).alias("s"), F.col("__r").alias("r")), F.struct(F.col(score).isNotNull(), F.col(score))).alias("__b"))
+    return best.select(*keys, F.col("__b.s").alias(score), "__b.r.*").select(*df.columns)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions.text import artist_key, lookup_name, strip
+from vitrine.runtime import join_keyed
 from vitrine.schema import ENRICHED
 
 
@@ -27,7 +28,7 @@ def merge(df: DataFrame, found: DataFrame, run_date: str, force: bool = False) -
     """df filled from found(artist_norm, the five fields): blank fields only, or all with ``force``; the date is stamped
     where something changed. Of several finds for one key the largest counts."""
     one = found.groupBy("artist_norm").agg(*[F.max(c).alias(f"__{c}") for c in ENRICHED])
-    out = df.withColumn("artist_norm", artist_key("artist")).join(one, "artist_norm", "left")
+    out = join_keyed(df.withColumn("artist_norm", artist_key("artist")), one, ["artist_norm"])
     fills = {c: (F.coalesce(F.col(f"__{c}"), F.lit("")) != "") & (F.lit(force) | (strip(c) == "")) & (F.coalesce(F.col(f"__{c}"), F.lit("")) != F.coalesce(F.col(c), F.lit(""))) for c in ENRICHED}
     hit = F.lit(False)
     for t in fills.values():
@@ -42,7 +43,8 @@ def translate(df: DataFrame, cache: DataFrame, columns: list[str]) -> DataFrame:
     one = cache.groupBy("source").agg(F.max("target").alias("target"))
     for c in columns:
         look = one.select(F.col("source").alias("__s"), F.col("target").alias("__t"))
-        df = df.join(look, strip(c) == F.col("__s"), "left").withColumn(c, F.when(strip(c) == "", F.col(c)).otherwise(F.coalesce("__t", c))).drop("__s", "__t")
+        keyed = df.withColumn("__s", F.nullif(strip(c), F.lit("")))
+        df = join_keyed(keyed, look, ["__s"]).withColumn(c, F.when(F.col("__s").isNull(), F.col(c)).otherwise(F.coalesce("__t", c))).select(*df.columns)
     return df
 
 

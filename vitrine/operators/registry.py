@@ -5,12 +5,13 @@ Everything follows from one long table of mentions in the order of records and,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitrine.functions import materials as material_texts
 from vitrine.functions import periods
-from vitrine.functions.materials import with_materials
 from vitrine.functions.text import artist_key, artist_segments, entity_uri, let, lookup_name, norm_key, slug, split_artists, split_cultures, strip
+from vitrine.operators.changes import last_known
 from vitrine.schema import COLUMNS
 
 #: Entity type, predicate.
@@ -25,32 +26,35 @@ def camel(name: str) -> str:
 
 
 def _prepare(df: DataFrame) -> DataFrame:
-    """Text columns, the artifact's id, materials; rows without ids dropped."""
+    """Text columns and the artifact's id; rows without ids dropped."""
     have = set(df.columns)
     rows = df.select(F.col("seq") if "seq" in have else F.monotonically_increasing_id().alias("seq"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in have else F.lit("").alias(c) for c in COLUMNS])
     rows = rows.withColumns({"museum_id": F.trim("museum_id"), "object_id": F.trim("object_id")}).where("museum_id <> '' AND object_id <> ''")
-    return with_materials(rows.withColumn("artifact_id", F.concat_ws(":", F.lit("entity:artifact"), "museum_id", "object_id")), "material")
+    return rows.withColumn("artifact_id", F.concat_ws(":", F.lit("entity:artifact"), "museum_id", "object_id"))
 
 
-def mentions(df: DataFrame) -> DataFrame:
+def mentions(df: DataFrame, roles: tuple[str, ...] = tuple(RELATIONS)) -> DataFrame:
     """(seq, sub, artifact_id, museum_id, object_id, role, entity_type, label, norm, ext_id, field_name) of every entity
-    a record names, in order. The maker's external id counts for the maker the field would be looked up by, or the only one."""
+    a record names, in order. The maker's external id counts for the maker the field would be looked up by, or the only one. Only the
+    roles asked for are read; what others would cost isn't paid."""
     rows = _prepare(df)
     item = lambda role, kind, label, norm=None, field=None: F.struct(F.lit(role).alias("role"), F.lit(kind).alias("entity_type"), label.alias("label"), (norm if norm is not None else norm_key(label)).alias("norm"), F.lit(field or role).alias("field_name"))
     some = lambda role, kind, label, **k: F.array_compact(F.array(let(label, lambda v: F.when(v != "", item(role, kind, v, **k)))))
     era = F.when(strip("dynasty") != "", strip("dynasty")).otherwise(periods.era("period", F.expr("try_cast(trim(period_start_year) AS int)"), F.expr("try_cast(trim(period_end_year) AS int)")))
     museum = F.when(strip("museum") != "", strip("museum")).otherwise(F.concat(F.lit("Museum-"), "museum_id"))
-    rows = rows.withColumn("__era", era)
-    every = F.concat(
-        F.array(item("museum", "Museum", museum, norm=F.col("museum_id"))),
-        some("location", "Location", strip("location")),
-        some("dynasty", "Dynasty", F.col("__era")),
-        some("type", "ArtifactType", strip("type")),
-        F.transform("materials", lambda m: item("material", "Material", m, field="material")),
-        some("primary", "Material", F.col("primary_material"), field="material"),
-        F.transform(split_cultures("culture"), lambda v: item("culture", "Culture", v)),
-        F.transform(split_artists("artist"), lambda v: item("artist", "Artist", v)),
-    )
+    readers = {
+        "museum": lambda: F.array(item("museum", "Museum", museum, norm=F.col("museum_id"))),
+        "location": lambda: some("location", "Location", strip("location")),
+        "dynasty": lambda: some("dynasty", "Dynasty", era),
+        "type": lambda: some("type", "ArtifactType", strip("type")),
+        "material": lambda: F.transform("materials", lambda m: item("material", "Material", m, field="material")),
+        "primary": lambda: some("primary", "Material", material_texts.primary(F.col("materials")), field="material"),
+        "culture": lambda: F.transform(split_cultures("culture"), lambda v: item("culture", "Culture", v)),
+        "artist": lambda: F.transform(split_artists("artist"), lambda v: item("artist", "Artist", v)),
+    }
+    if {"material", "primary"} & set(roles):
+        rows = rows.withColumn("materials", material_texts.materials("material"))
+    every = F.concat(*[read() for role, read in readers.items() if role in roles])
     chosen = rows.withColumns({"__lookup": artist_key(lookup_name("artist")), "__alone": F.size(artist_segments("artist")) == 1})
     long = chosen.select("seq", "artifact_id", "museum_id", "object_id", F.trim("artist_wikidata_id").alias("__q"), "__lookup", "__alone", F.posexplode(every).alias("sub", "m")).select("*", "m.*").drop("m")
     own = F.when((F.col("entity_type") == "Artist") & F.col("__q").startswith("Q") & (F.col("__lookup") != "") & ((artist_key("label") == F.col("__lookup")) | F.col("__alone")), F.col("__q")).otherwise("")
@@ -60,10 +64,9 @@ def mentions(df: DataFrame) -> DataFrame:
 def resolve(m: DataFrame) -> DataFrame:
     """mentions with canonical_id: a maker's own external id, else the last one its key had before, else a slug; every
     other entity a pure function of its key."""
-    w = Window.partitionBy("entity_type", "norm").orderBy("seq", "sub").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # only makers have external ids: others need no window, and a hot museum or type no single task
-    makers = m.where("entity_type = 'Artist'").withColumn("__q", F.last(F.nullif(F.col("ext_id"), F.lit("")), ignorenulls=True).over(w))
-    makers = makers.withColumn("canonical_id", F.concat(F.lit("entity:artist:"), F.coalesce("__q", slug("label")))).drop("__q")
+    # only makers have external ids, so no other entity needs a scan
+    makers = last_known(m.where("entity_type = 'Artist'"), "norm", "ext_id", "seq", "sub")
+    makers = makers.withColumn("canonical_id", F.concat(F.lit("entity:artist:"), F.coalesce("known", slug("label")))).drop("known")
     name = F.when(F.col("entity_type") == "Museum", F.col("norm")).when(F.col("entity_type") == "Location", slug("label")).otherwise(slug("norm"))
     rest = m.where("entity_type <> 'Artist'").withColumn("canonical_id", F.concat(F.lit("entity:"), F.lower("entity_type"), F.lit(":"), name))
     return makers.unionByName(rest)
@@ -96,8 +99,8 @@ def relations(r: DataFrame) -> DataFrame:
 
 def properties(df: DataFrame) -> DataFrame:
     """Distinct triples from artifacts to texts: every non-blank property column, and the material as text, list and main one."""
-    rows = _prepare(df)
-    extra = {"materialSummary": strip("material"), "materialBase": F.array_join("materials", " | "), "materialPrimary": F.col("primary_material")}
+    rows = _prepare(df).withColumn("materials", material_texts.materials("material"))
+    extra = {"materialSummary": strip("material"), "materialBase": F.array_join("materials", " | "), "materialPrimary": material_texts.primary(F.col("materials"))}
     every = F.array(*[F.struct(F.lit(camel(c)).alias("relation"), strip(c).alias("to")) for c in PROPERTIES], *[F.struct(F.lit(n).alias("relation"), v.alias("to")) for n, v in extra.items()])
     return rows.select(F.col("artifact_id").alias("from"), F.explode(every).alias("p")).select("from", "p.*").where(F.col("to") != "").distinct()
 

@@ -71,7 +71,7 @@ def _value(m: re.Match, unit: str) -> float | None:
             thousands = "." in plain or len(plain.rpartition(",")[2]) == 3 and unit not in ("m", "kg", "lb", "yd")
             plain = plain.replace(",", "" if thousands else ".")
         return float(plain)
-    except ZeroDivisionError:
+    except (ZeroDivisionError, OverflowError):
         return None
 
 
@@ -123,7 +123,7 @@ def measured(df: DataFrame, key: str = "seq", column: str = "dimensions", digits
     """One row (key, pos, unit, amount) per measured quantity in common units (mm, g), rounded half up.
 
     NULL and empty texts and texts without any unit give no rows; numbers that no unit closes are skipped and not
-    counted; brackets restate what stands before them and are skipped unless the text has no number outside them; equal
+    counted; an amount that no whole number of 64 bits holds is NULL; brackets restate what stands before them and are skipped unless the text has no number outside them; equal
     quantities are kept; other columns of ``df`` are ignored; whole texts are scanned whatever their length.
     """
 
@@ -143,7 +143,12 @@ def measured(df: DataFrame, key: str = "seq", column: str = "dimensions", digits
     factors = df.sparkSession.createDataFrame([u[:3] for u in UNITS], "alias string, common string, factor string").withColumn("factor", F.col("factor").cast("decimal(14,9)"))
     first = F.broadcast(factors.select(F.col("alias").alias("u1"), F.col("common").alias("unit"), F.col("factor").alias("f1")))
     second = F.broadcast(factors.select(F.col("alias").alias("u2"), F.col("factor").alias("f2")))
-    exact = lambda v, f: F.col(v).cast("decimal(18,6)") * F.col(f)
-    amount = F.round(exact("v1", "f1") + F.coalesce(exact("v2", "f2"), F.lit(0)), digits)
+    # a number that the exact type can't hold is taken as a double, so that one bad cell stops no job
+    exact = lambda v, f: F.col(v).try_cast("decimal(18,6)") * F.col(f)
+    rough = lambda v, f: F.col(v) * F.col(f).cast("double")
+    second_part = F.when(F.col("v2").isNull(), F.lit(0)).otherwise(exact("v2", "f2"))
+    kind_of = "long" if digits == 0 else "double"
+    whole = F.round(exact("v1", "f1") + second_part, digits).try_cast(kind_of)
+    amount = F.coalesce(whole, F.round(rough("v1", "f1") + F.coalesce(rough("v2", "f2"), F.lit(0.0)), digits).try_cast(kind_of))
     out = found.join(first, "u1").join(second, "u2", "left")
-    return out.select(F.col("key").alias(key), "pos", "unit", amount.cast("long" if digits == 0 else "double").alias("amount"))
+    return out.select(F.col("key").alias(key), "pos", "unit", amount.alias("amount"))

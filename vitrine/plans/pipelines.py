@@ -14,24 +14,16 @@ from vitrine.schema import COLUMNS
 def clean(df: DataFrame, checks: DataFrame | None = None, drop_imageless: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(clean records, duplicates with reason and winner, one-row report) of records with a seq."""
     keyed = df.select("seq", *[c for c in COLUMNS if c in df.columns])
-    standard = cut(with_seq(keyed))
+    standard = cut(standardise(keyed, carry=("seq",)))
     staged = dedup.artifacts(standard)
     kept = staged.where("reason IS NULL").drop("reason", "kept_by")
     dups = staged.where("reason IS NOT NULL").select("seq", "museum_id", "object_id", "reason", F.col("kept_by.seq").alias("kept_seq"))
     out = images.repaired(kept, checks, drop=drop_imageless) if checks is not None else kept
-    report = keyed.agg(F.count("*").alias("rows_in")).join(out.agg(F.count("*").alias("rows_out"))).join(dups.agg(F.count("*").alias("duplicates")))  # three one-row tables
+    number = lambda t: t.agg(F.count("*")).scalar()
+    report = df.sparkSession.range(1).select(number(keyed).alias("rows_in"), number(out).alias("rows_out"), number(dups).alias("duplicates"))
     return out, dups, report
 
 
-def with_seq(df: DataFrame) -> DataFrame:
-    """standardise, with the seq column carried through the record's columns."""
-    if "source_updated_at" not in df.columns:
-        df = df.withColumn("source_updated_at", F.lit(""))
-    carrier = df.withColumn("source_updated_at", F.concat_ws("\u0001", F.col("seq").cast("string"), F.coalesce(F.col("source_updated_at").cast("string"), F.lit(""))))
-    out = standardise(carrier)
-    return out.withColumn("seq", F.split_part("source_updated_at", F.lit("\u0001"), F.lit(1)).cast("long")).withColumn("source_updated_at", F.split_part("source_updated_at", F.lit("\u0001"), F.lit(2)))
-
-
 def export(df: DataFrame) -> dict[str, DataFrame]:
     """All tables of the graph: masters, aliases, sources, relations, properties, counts."""
     m = cut(registry.resolve(registry.mentions(df)))

@@ -236,8 +236,7 @@ S_TRIPLES = f"""SELECT {S_ID} AS "from", 'belongsToMuseum' AS relation, concat('
 @query(S_TRIPLES)
 def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct relations of artifacts to museums, places and types."""
-    r = registry.resolve(registry.mentions(artifact(spark, sf_dir)))
-    return registry.relations(r.where("role IN ('museum', 'location', 'type')"))
+    return registry.relations(registry.resolve(registry.mentions(artifact(spark, sf_dir), ("museum", "location", "type"))))
 
 
 @query(f"SELECT relation, count(*) AS n FROM ({S_TRIPLES}) GROUP BY relation")
@@ -258,7 +257,7 @@ def entity_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT concat('entity:museum:', museum_id) AS canonical_id, arg_min(CASE WHEN trim(museum) <> '' THEN trim(museum) ELSE concat('Museum-', museum_id) END, seq) AS label, museum_id::varchar AS norm_label, count(*) AS source_count FROM artifact GROUP BY museum_id")
 def museum_masters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = registry.resolve(registry.mentions(artifact(spark, sf_dir))).where("entity_type = 'Museum'")
+    r = registry.resolve(registry.mentions(artifact(spark, sf_dir), ("museum",)))
     return registry.masters(r).select("canonical_id", "label", "norm_label", "source_count")
 
 
@@ -312,7 +311,7 @@ def period_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rules_sql(rules: tuple, low: str) -> str:
-    return "CASE " + " ".join("WHEN regexp_matches({}, '{}') THEN '{}'".format(low, "|".join(w.replace("_", " ") for w in words.split()), label) for label, words in rules)
+    return "CASE " + " ".join("WHEN regexp_matches({}, '{}') THEN '{}'".format(low, "|".join(words), label) for label, words in rules)
 
 
 @query(f"SELECT seq, CASE WHEN t = '' THEN '' ELSE {_rules_sql(classify.TYPES, 'lower(t)')} ELSE CASE WHEN len(t) <= 40 AND NOT contains(t, ';') THEN t ELSE substr(trim(split_part(t, ';', 1)), 1, 80) END END END AS standard FROM (SELECT seq, {s_strip('type')} AS t FROM artifact)")
@@ -387,13 +386,11 @@ def typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema.typed(schema.texts(a), "2026-01-01").select("museum_id", "period_start_year", "crawl_date", "artifact_id")
 
 
-@query("SELECT event_id, json_extract_string(props, '$.' || k) AS v, k FROM events, (SELECT unnest(json_keys((SELECT props FROM events ORDER BY event_id LIMIT 1))) AS k)")
+@query("SELECT event_id, json_extract_string(props, '$.' || k) AS v, k FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)")
 def json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fields of JSON texts, one row each; the fields are those of the first text."""
-    e = table(spark, sf_dir, "events")
-    names = e.orderBy("event_id").limit(1).select(F.explode(F.json_object_keys("props")).alias("k"))
-    long = e.join(F.broadcast(names)).select("event_id", "k", F.from_json("props", "map<string,string>").alias("m"))  # a handful of names
-    return long.select("event_id", F.element_at("m", F.col("k")).alias("v"), "k")
+    """Fields of JSON texts, one row each, whatever fields a text has."""
+    fields = F.explode(F.map_entries(F.from_json("props", "map<string,string>"))).alias("f")
+    return table(spark, sf_dir, "events").select("event_id", fields).select("event_id", F.col("f.value").alias("v"), F.col("f.key").alias("k"))
 
 
 @query()

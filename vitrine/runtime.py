@@ -35,9 +35,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; one is made in the temporary folder only where none is set."""
+    """The session's ``spark.checkpoint.dir``. Where none is set, a local session gets one in the temporary folder; a
+    cluster must name one, since its executors would write to disks of their own."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(os.path.join(tempfile.gettempdir(), f"vitrine-{os.getpid()}"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
@@ -59,6 +62,36 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Share of the rows from which a key is hot.
+HOT = 0.002
+
+
+def join_keyed(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", share: float = HOT) -> DataFrame:
+    """left joined with right, which has one row a key at most, whatever share of left one key holds.
+
+    Keys that hold more than ``share`` of the rows are fewer than 1 / share, whatever the data, so their rows of right
+    are broadcast and their rows of left stay where they are; all other keys are joined by shuffle. Rows with a NULL key
+    match nothing and aren't shuffled either. ``how`` is left, inner, left_semi or left_anti.
+    """
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    counts = left.where(known).groupBy(*keys).agg(F.count("*").alias("__n"))
+    hot = counts.where(F.col("__n") > counts.agg(F.sum("__n") * share).scalar()).select(*keys)
+    there = left.where(known)
+    parts = [
+        there.join(F.broadcast(hot), keys, "left_semi").join(F.broadcast(right.join(F.broadcast(hot), keys, "left_semi")), keys, how),
+        there.join(F.broadcast(hot), keys, "left_anti").join(right, keys, how),
+    ]
+    if how in ("left", "left_anti"):
+        lost = left.where(~known)
+        parts.append(lost if how == "left_anti" else lost.join(right.limit(0), keys, "left"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def blank(col: Column) -> Column:
     """NULL for NULL, empty and white-space-only strings, else the string without surrounding white space."""
     return F.nullif(F.regexp_replace(col, r"^[\s 　]+|[\s 　]+$", ""), F.lit(""))

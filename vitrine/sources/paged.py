@@ -1,4 +1,4 @@
-"""A paged listing as a Spark data source: pages are partitions, a page too short is the last.
+"""A paged listing as a Spark data source: tasks take the pages in turn, up to the end of the listing.
 
 ``PagedSource`` reads pages captured in a folder as ``page-000001.json`` files of ``{"records": [...], "info": {"next":
 ...}}``; a subclass may fetch them from a service instead by overriding ``fetch``.
@@ -14,8 +14,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
 class PageRange(InputPartition):
-    def __init__(self, first: int, last: int) -> None:
-        self.first, self.last = first, last
+    """Pages first, first + step, ... up to last, or to the end of the listing if last is None."""
+
+    def __init__(self, first: int, step: int, last: int | None) -> None:
+        self.first, self.step, self.last = first, step, last
 
 
 class PagedReader(DataSourceReader):
@@ -23,24 +25,27 @@ class PagedReader(DataSourceReader):
         self.options = options
 
     def fetch(self, page: int) -> dict | None:
+        """One page, None beyond the last. The folder must be one that every executor can read."""
         path = Path(self.options["path"]) / f"page-{page:06d}.json"
         return json.loads(path.read_text()) if path.exists() else None
 
     def partitions(self) -> list[PageRange]:
-        """Page numbers in even ranges; "pages" bounds them, "splits" says how many tasks share them."""
-        pages, splits = int(self.options.get("pages", 1)), int(self.options.get("splits", 8))
-        step = max(1, -(-pages // splits))
-        return [PageRange(a, min(a + step - 1, pages)) for a in range(1, pages + 1, step)]
+        """"splits" tasks share the pages in turn, each up to the first page without records; "pages" stops before it.
+        A service that can't be asked for a page beyond its last needs "splits" of 1."""
+        splits = max(1, int(self.options.get("splits", 8)))
+        last = int(self.options["pages"]) if "pages" in self.options else None
+        return [PageRange(k, splits, last) for k in range(1, splits + 1) if last is None or k <= last]
 
     def read(self, partition: PageRange) -> Iterator[tuple]:
-        size = int(self.options.get("size", 0))
-        for number in range(partition.first, partition.last + 1):
+        size, number = int(self.options.get("size", 0)), partition.first
+        while partition.last is None or number <= partition.last:
             page = self.fetch(number)
             records = (page or {}).get("records") or []
             for r in records:
                 yield number, json.dumps(r, ensure_ascii=False)
-            if not records or size and len(records) < size or not (page.get("info") or {}).get("next"):
+            if not records or size and len(records) < size or "info" in page and not (page["info"] or {}).get("next"):
                 return
+            number += partition.step
 
 
 class PagedSource(DataSource):
