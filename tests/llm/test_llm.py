@@ -73,18 +73,28 @@ def test_simhash_against_brute_force(texts):
 
 
 def test_residue_spreads_to_near_copies_and_spares_prose(spark):
-    page = "Please enable JavaScript in order to view the collection pages of this object online today"
+    page = "This site works best with scripts turned on; activate them in your browser settings."
+    near = "This site works best when scripts turned on; activate them all in your browser settings."
+    nearer = "This site works fine when scripts turned on"
     rows = [
-        {"seq": 1, "description": page}, {"seq": 2, "description": page.replace("JavaScript", "JavaScrlpt")}, {"seq": 3, "description": "The bowl weighs 3 kg, i.e. more ${NAME} its lid."}, {"seq": 4, "description": "The bowl weighs 3 kg, i.e. more than its lid."},
-        {"seq": 5, "provenance": "404 Not Found."}, {"seq": 6, "provenance": "Page 404 of the old ledger lists the same bowl."}, {"seq": 7, "provenance": "Not recorded"}, {"seq": 8}, {"seq": 9, "description": ""}, {"seq": 1, "description": page}, {"seq": 10, "description": "真品。此处填写说明文字"},
+        {"seq": 1, "description": page}, {"seq": 2, "description": near}, {"seq": 3, "description": "The bowl weighs 3 kg, i.e. more ${NAME} its lid."}, {"seq": 4, "description": "The bowl weighs 3 kg, i.e. more than its lid."},
+        {"seq": 5, "provenance": "502 Not Found."}, {"seq": 6, "provenance": "Page 404 of the old ledger lists the same bowl."}, {"seq": 7, "provenance": "Not recorded"}, {"seq": 8}, {"seq": 9, "description": ""}, {"seq": 1, "description": page}, {"seq": 10, "description": "真品。此处填写说明文字"},
+        {"seq": 11, "description": "The inscription in seal script is required reading for students of Qing epigraphy."}, {"seq": 12, "description": "It came [2] from @@owner name@@ in 1920."}, {"seq": 13, "description": "nunc elit alet dolor urna nunc sed"}, {"seq": 14, "provenance": "None, None, None"},
+        {"seq": 15, "provenance": "none known before 1930"}, {"seq": 16, "description": nearer}, {"seq": 17, "description": "[Please enable JavaScript to view this page.]"},
     ]
-    got = {(r.seq, r.field_name) for r in residue.residue(artifacts(spark, rows).withColumn("h", F.lit(1)).withColumn("hash", F.lit(1))).collect()}
-    assert got == {(1, "description"), (2, "description"), (3, "description"), (5, "provenance"), (10, "description")}
+    df = artifacts(spark, rows).withColumn("h", F.lit(1)).withColumn("hash", F.lit(1))
+    got = {(r.seq, r.field_name) for r in residue.residue(df).collect()}
+    want = {(k, "description") for k in (1, 2, 3, 10, 12, 13, 17)} | {(5, "provenance"), (14, "provenance")}
+    chain = {(16, "description")}  # similar to what is similar to a trusted text
+    assert got - chain == want
+    assert {(r.seq, r.field_name) for r in residue.residue(df, rounds=0).collect()} < want, "without the spread near copies are lost"
     assert residue.residue(artifacts(spark, [])).count() == 0
     assert residue.residue(artifacts(spark, rows[3:4])).count() == 0
 
 
-def test_residue_spreads_to_every_similar_text_by_brute_force(spark):
+@pytest.fixture(scope="module")
+def alike():
+    """520 made texts with their pairs of the wanted similarity."""
     rnd = random.Random(4)
     words = ["bowl", "lotus", "heron", "willow", "bridge", "ivory", "garden", "scroll", "mist", "plum", "crane", "ink", "carp", "jade", "silk", "river"]
     texts = []
@@ -96,13 +106,28 @@ def test_residue_spreads_to_every_similar_text_by_brute_force(spark):
             for _ in range(rnd.randrange(1, 3)):
                 near[rnd.randrange(len(near))] = rnd.choice(words)
             texts.append(" ".join(near))
-    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "h long, segment string, skeleton string")
-    want = {i for i, t in enumerate(texts) if residue.kind(t) == 2}
     pairs = [(i, j) for i, j in combinations(range(len(texts)), 2) if residue.jaccard(texts[i], texts[j]) >= residue.SIMILARITY]
+    return texts, pairs
+
+
+def test_residue_spreads_to_every_similar_text_by_brute_force(spark, alike):
+    texts, pairs = alike
+    df = spark.createDataFrame([(i, t, t.startswith("error code")) for i, t in enumerate(texts)], "h long, skeleton string, label boolean")
+    want = {i for i, t in enumerate(texts) if t.startswith("error code")}
     trusted = len(want)
     while grown := {x for p in pairs for x in p if want & set(p)} - want:
         want |= grown
-    assert len(want) > 2 * trusted and {r.h for r in residue.label_segments(df).collect()} == want
+    assert len(want) > 2 * trusted and {r.h for r in residue.label_skeletons(df).collect()} == want
+    assert len(residue.label_skeletons(df, rounds=1).collect()) < len(want)
+
+
+def test_tables_alone_meet_most_near_copies(spark, alike):
+    """Recall of the SimHash tables against brute force, before the prefix filter finds the rest."""
+    texts, pairs = alike
+    hashes = spark.createDataFrame([(i, h) for i, h in enumerate(residue.simhashes(texts).astype("int64").tolist())], "i int, hash long")
+    keys = hashes.select("i", residue._keys("hash").alias("key"))
+    met = {(r.i, r.j) for r in keys.join(keys.withColumnRenamed("i", "j"), "key").where("i < j").select("i", "j").distinct().collect()}
+    assert sum(p in met for p in pairs) / len(pairs) > 0.8
 
 
 def test_two_blocks_meet_within_six_bits():
@@ -112,7 +137,7 @@ def test_two_blocks_meet_within_six_bits():
         b = a
         for bit in rnd.sample(range(64), residue.SURE):
             b ^= 1 << bit
-        key = lambda x: {(i, j, x >> 8 * i & 255, x >> 8 * j & 255) for i, j in combinations(range(residue.BLOCKS), 2)}
+        key = lambda x: {tuple((i, x >> 8 * i & 255) for i in chosen) for chosen in combinations(range(residue.BLOCKS), residue.KEYED)}
         assert key(a) & key(b)
 
 

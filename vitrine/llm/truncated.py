@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.residue import kind
+from vitrine.llm.residue import residue
 from vitrine.runtime import cut, small
 
 FIELDS = ("artist_bio", "artist_wikipedia_summary", "description")
@@ -149,14 +149,11 @@ def cut_off(df: DataFrame, key: str = "seq", fields: tuple[str, ...] = FIELDS) -
     """
     scored = end_odds(df, fields)
     lost = cut(scored.where((F.col("mark") > 0) | (F.col("odds") < F.col("threshold"))).select("field", "h"))
+    # page and template matter is another operator's case: its labels are spread over the wordings in question
     rows = _long(df, fields, F.col(key).alias("key")).join(small(lost, RESULT_ROWS), ["field", "h"], "left_semi")
-
-    def real(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            mask = pa.array([kind(t) == 0 for t in b.column(2).to_pylist()], pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(mask), b.column(1).filter(mask)], names=["key", "field"])
-
-    kept = rows.select("key", "field", "text").mapInArrow(real, f"key {df.schema[key].dataType.simpleString()}, field int")
+    texts = cut(rows.groupBy("field", "h").agg(F.first("text").alias("text")))
+    matter = residue(texts.withColumn("id", F.struct("field", "h")), "id", ("text",)).select("id.field", "id.h")
+    kept = rows.join(small(cut(lost.join(matter, ["field", "h"], "left_anti")), RESULT_ROWS), ["field", "h"], "left_semi")
     return kept.select(F.col("key").alias(key), F.element_at(F.array(*map(F.lit, fields)), F.col("field") + 1).alias("field_name"))
 
 
