@@ -3,8 +3,9 @@
 Texts are normalised to lower-case letters and digits without spaces, with a map back to the original. The automaton
 holds every window of the items that is long enough to be telling (10 letters; 6 characters in Chinese); each document
 is scanned once. A hit fixes how an item lies over the document; from there the item's words are followed to both
-sides, a word may differ in one letter if its neighbours don't, and the longest run of words decides. The items are a
-held-out set of bounded size (``ITEM_CHARS``), so every task builds the automaton from one broadcast copy.
+sides, a word may differ in one letter if its neighbours don't, and the longest run of words decides. The items are
+dealt into parts of bounded size (``PART_CHARS``); each part has its own automaton, which every task builds from one
+broadcast copy, and the documents are scanned once for each part. A benchmark of usual size is one part.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import re
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Callable, Iterable
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -24,8 +26,8 @@ from vitrine.runtime import map_rows
 WORDS, CHARACTERS = 12, 20
 #: Length of the windows in the automaton.
 WINDOW, WINDOW_CJK = 10, 6
-#: Most characters of test items; beyond it the items are to be given in several parts.
-ITEM_CHARS = 20_000_000
+#: Characters of test items in one automaton; more items make more parts.
+PART_CHARS = 4_000_000
 
 _TOKEN = re.compile(r"[^\W_]+|&")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿]")
@@ -55,6 +57,23 @@ class _Fold(dict):
 _FOLD = _Fold()
 
 
+class _Squash(dict):
+    """Letter by letter: as _Fold, and nothing for what is no letter or digit."""
+
+    def __missing__(self, c: int) -> str | None:
+        out = chr(_FOLD[c]) if chr(c).isalnum() else None
+        self[c] = out
+        return out
+
+
+_SQUASH = _Squash()
+
+
+def squash(text: str) -> str:
+    """What normalise gives, without the places."""
+    return text.replace("&", "and").translate(_SQUASH)
+
+
 def normalise(text: str) -> tuple[str, list[int], list[int]]:
     """Letters and digits of a text in lower case without spaces; where each word begins there, and in the original."""
     parts, at, origin, n = [], [], [], 0
@@ -164,7 +183,7 @@ def passages(text: str | None, items: list[Item], a) -> list[tuple[int, int, int
     """(item key, words, begin, end) per item that leaked into the text, offsets in the original."""
     if not text or not len(a):
         return []
-    doc, at, origin = normalise(text)
+    doc = squash(text)
     best: dict[int, tuple[int, int, int]] = {}
     seen: dict[int, list[tuple[int, int, int]]] = {}
     for last, (size, places) in a.iter(doc):
@@ -177,6 +196,9 @@ def passages(text: str | None, items: list[Item], a) -> list[tuple[int, int, int
             if n > best.get(i, (0,))[0]:
                 best[i] = n, b, e
     out = []
+    if all(n < items[i].need for i, (n, _, _) in best.items()):
+        return out
+    _, at, origin = normalise(text)
     for i, (n, b, e) in best.items():
         if n >= items[i].need:
             place = lambda x: origin[(k := bisect_right(at, x) - 1)] + (x - at[k])
@@ -184,29 +206,35 @@ def passages(text: str | None, items: list[Item], a) -> list[tuple[int, int, int
     return out
 
 
-def leaks(documents: DataFrame, tests: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id", text: str = "text") -> DataFrame:
+def leaks(documents: DataFrame, tests: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id", text: str = "text", part_chars: int = PART_CHARS) -> DataFrame:
     """One row (item_id, doc_id, words, start_at, end_at) per item and document that holds a run of its words.
 
     NULL and empty texts on either side give no rows; of several passages of one item in a document the longest is
     given; repeated items each give rows; items shorter than a case can't leak; texts are scanned whole whatever their
-    length; extra columns are ignored.
+    length; items may be as many as they like; extra columns are ignored.
     """
     size = tests.agg(F.sum(F.length(text))).first()[0] or 0
-    if size > ITEM_CHARS:
-        raise ValueError(f"the test items have {size} characters; give them in parts of at most {ITEM_CHARS}")
-    shared = documents.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in tests.select(item_key, text).collect()])
+    parts = max(1, -(-size // part_chars))
+    spark = documents.sparkSession
+    rows = documents.select(F.col(doc_key), F.col(text).cast("string"))
+    kinds = [tests.schema[item_key].dataType.simpleString(), documents.schema[doc_key].dataType.simpleString()]
+    schema = f"{item_key} {kinds[0]}, {doc_key} {kinds[1]}, words int, start_at int, end_at int"
+    dealt = tests.select(item_key, F.col(text).cast("string").alias("text")).withColumn("part", F.pmod(F.xxhash64(item_key, "text"), F.lit(parts)))
 
-    def make() -> Callable[..., Iterable[tuple]]:
-        items = items_of(shared.value)
-        a = automaton(items)
+    def scan(part: int) -> DataFrame:
+        shared = spark.sparkContext.broadcast([(r[0], r[1]) for r in dealt.where(F.col("part") == part).select(item_key, "text").collect()])
 
-        def step(ids: list, texts: list) -> Iterable[tuple]:
-            for d, t in zip(ids, texts):
-                for i, n, b, e in passages(t, items, a):
-                    yield i, d, n, b, e
+        def make() -> Callable[..., Iterable[tuple]]:
+            items = items_of(shared.value)
+            a = automaton(items)
 
-        return step
+            def step(ids: list, texts: list) -> Iterable[tuple]:
+                for d, t in zip(ids, texts):
+                    for i, n, b, e in passages(t, items, a):
+                        yield i, d, n, b, e
 
-    kinds = [tests.schema[item_key].dataType.simpleString(), documents.schema[doc_key].dataType.simpleString()]
-    rows = documents.select(F.col(doc_key), F.col(text).cast("string"))
-    return map_rows(rows, make, f"{item_key} {kinds[0]}, {doc_key} {kinds[1]}, words int, start_at int, end_at int")
+            return step
+
+        return map_rows(rows, make, schema)
+
+    return reduce(DataFrame.unionByName, [scan(p) for p in range(parts)])
