@@ -14,6 +14,13 @@ _NOTHING = ("none", "null", "nan")
 #: How an attribution may begin, and what institutions and dealers are called.
 _ATTRIBUTION = r"(?i)^(?:(?:traditionally\s+)?(?:attributed|formerly\s+attributed|possibly|probably)\s+to|style\s+of|circle\s+of|workshop\s+of|follower\s+of|copy\s+of|after|before)\s*:?\s*"
 _BRACKET = r"(?i)\s*\((?:Chinese|Sino-Tibetan|active|born|after)[^)]*\)\s*"
+#: Collectors and dealers by name, and one by pattern.
+COLLECTORS = (
+    "Freer, Charles Lang", "Charles Lang Freer", "Yamanaka and Co.", "You, Xiaoxi", "Li, Wenqing", "Bahr, Abel William", "Sai, Loon Gu", "Lai-Yuan & Company",
+    "C. T. Loo & Company", "Riu Cheng Chai", "Meyer, Agnes E.", "Meyer, Eugene and Agnes E.", "Meyer, Eugene I.", "Graham, Katharine Meyer", "Matsuki, Bunkio",
+    "Karlbeck, Orvar", "Duanfang", "Amoy Lace Guild", "Cox, John Hadley", "Abe, S.", "Ge Shang, Ta", "Ge Chung, Ta", "buddha",
+)
+_COLLECTOR = r"(?i)^freer(?:\s*,\s*charles\s+lang|\s+gallery)?\b|charles\s+lang\s+freer"
 _INSTITUTION = r"(?i)(?:&\s*co\.?|company|guild|gallery|museum|dealer|foundation|trust)\b"
 
 
@@ -85,10 +92,11 @@ def split_cultures(x: Column | str, most: int = 12) -> Column:
     return F.slice(F.transform(first, lambda s: s["v"]), 1, most)
 
 
-def is_dealer(x: Column | str, known: tuple[str, ...] = ()) -> Column:
-    """Is a segment a collector, dealer or institution (or nothing) and no maker? ``known`` lists artist keys."""
+def is_dealer(x: Column | str, known: tuple[str, ...] = COLLECTORS) -> Column:
+    """Is a segment a collector, dealer or institution (or nothing) and no maker? ``known`` lists their names."""
     t = strip(x)
-    return (F.length(t) < 2) | t.rlike(_INSTITUTION) | (artist_key(t).isin(*known) if known else F.lit(False))
+    listed = artist_key(t).isin(*[" ".join(k.split()).lower() for k in known]) if known else F.lit(False)
+    return (F.length(t) < 2) | t.rlike(_INSTITUTION) | t.rlike(_COLLECTOR) | listed
 
 
 def segment_priority(x: Column | str) -> Column:
@@ -106,7 +114,7 @@ def without_brackets(x: Column | str) -> Column:
     return F.substring(squeeze(F.regexp_replace(strip(x), _BRACKET, " ")), 1, 200)
 
 
-def lookup_name(x: Column | str, known: tuple[str, ...] = ()) -> Column:
+def lookup_name(x: Column | str, known: tuple[str, ...] = COLLECTORS) -> Column:
     """The segment of an artist field to look up: most like a maker, earliest of equals; empty if all are dealers."""
     good = F.filter(artist_segments(x), lambda s: ~is_dealer(s, known))
     ranked = F.transform(good, lambda s, i: F.struct(segment_priority(s).alias("p"), (-i).alias("i"), s.alias("s")))

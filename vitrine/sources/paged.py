@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import reduce
 from pathlib import Path
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
@@ -58,3 +61,27 @@ class PagedSource(DataSource):
 
     def reader(self, schema) -> PagedReader:  # noqa: ANN001
         return PagedReader(self.options)
+
+
+#: What a search service is asked for, wide questions before narrow ones.
+IMAGES, FREE = 'online_media_type:"Images"', 'metadata_usage:"CC0" OR media_usage:"CC0"'
+PROFILES = (
+    ("chinese", (IMAGES,)),
+    ("china", (IMAGES,)),
+    ("Chinese art", (IMAGES,)),
+    ("chinese", (IMAGES, FREE)),
+    ("china", (IMAGES, FREE)),
+)
+
+
+def search(spark: SparkSession, folders: list[str], key: str = "$.id", pages: int | None = None, size: int = 0) -> DataFrame:
+    """(profile, page, value) of the pages captured for each profile, one folder a profile, in order of the profiles: a
+    record that several give counts for the first. ``pages`` stops every listing earlier. A record without the key is kept."""
+    spark.dataSource.register(PagedSource)
+    parts = []
+    for n, folder in enumerate(folders):
+        options = {"path": folder, "size": str(size), **({"pages": str(pages)} if pages is not None else {})}
+        parts.append(spark.read.format("paged").options(**options).load().withColumn("profile", F.lit(n)))
+    every = reduce(DataFrame.unionByName, parts).withColumn("__k", F.get_json_object("value", key))
+    found = every.where("__k IS NOT NULL").groupBy("__k").agg(F.min(F.struct("profile", "page", "value")).alias("r")).select("r.*")
+    return found.unionByName(every.where("__k IS NULL").select("profile", "page", "value"))
