@@ -56,22 +56,38 @@ def _tokens(words: Column) -> Column:
 
 
 def osa(a: str, b: str, most: int) -> int:
-    """Edit distance with swaps of neighbours (optimal string alignment); most + 1 if it is larger than most."""
-    if abs(len(a) - len(b)) > most:
+    """Edit distance with swaps of neighbours (optimal string alignment), banded: only cells at most ``most`` off the
+    diagonal are filled; most + 1 if the distance is larger than most."""
+    n, m = len(a), len(b)
+    if abs(n - m) > most:
         return most + 1
+    if a == b:
+        return 0
+    far = most + 1
     before: list[int] = []
-    last = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            d = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, before[j - 2] + 1)
-            row.append(d)
-        if min(row) > most:
-            return most + 1
+    last = [j if j <= most else far for j in range(m + 1)]
+    for i in range(1, n + 1):
+        x = a[i - 1]
+        low, high = max(1, i - most), min(m, i + most)
+        row = [far] * (m + 1)
+        if i <= most:
+            row[0] = i
+        least = row[low - 1]
+        for j in range(low, high + 1):
+            y = b[j - 1]
+            if x == y:
+                d = last[j - 1]
+            else:
+                d = 1 + min(last[j - 1], last[j], row[j - 1])
+                if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y and before[j - 2] < d:
+                    d = before[j - 2] + 1
+            row[j] = d
+            if d < least:
+                least = d
+        if least > most:
+            return far
         before, last = last, row
-    return last[-1] if last[-1] <= most else most + 1
+    return min(last[m], far)
 
 
 def _core(words: list[str]) -> list[str]:

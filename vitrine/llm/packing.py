@@ -15,8 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.runtime import cut, map_rows
@@ -28,6 +27,9 @@ DIMENSIONS, BITS = 4, 12
 OPEN = 64
 #: Containers that a range holds at least, so that those left open at its end don't count.
 RANGE = 2048
+#: Cells of the curve in which tokens are counted to find the ranges.
+CELL_BITS = 16
+CELLS = 1 << CELL_BITS
 
 
 def vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
@@ -131,28 +133,48 @@ class Packer:
         yield c, piece, at, rest
 
 
+def _ranges(rows: DataFrame, key: str, capacity: int) -> DataFrame:
+    """rows with ``range``: stretches of the curve of about ``RANGE`` containers' tokens each, the same in every run.
+
+    Tokens are counted in cells of the curve (``CELLS`` at most, so the counts are broadcast) and summed along it. A cell
+    that holds more than a range, as copies of one text do, is dealt to several ranges by the id.
+    """
+    target = capacity * RANGE
+    cell = F.shiftright("place", DIMENSIONS * BITS - CELL_BITS)
+    counted = rows.groupBy(cell.alias("cell")).agg(F.sum("tokens").alias("tokens"))
+    along = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    start = counted.withColumn("at", F.coalesce(F.sum("tokens").over(along), F.lit(0)))
+    start = start.select("cell", F.floor(F.col("at") / target).alias("first"), F.greatest(F.lit(1), F.ceil(F.col("tokens") / target)).alias("many"))
+    spread = F.pmod(F.xxhash64(key), F.col("many"))
+    return rows.withColumn("cell", cell).join(F.broadcast(start), "cell").withColumn("range", F.col("first") + spread).drop("cell", "first", "many")
+
+
 def pack(documents: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """One row (key, piece, container, start_token, tokens) per text, and per piece of a text longer than a container.
 
     NULL, empty and blank texts have the tokens that the tokenizer gives them, none for NULL and empty ones, which take
-    up no room; copies are packed each; container numbers are unique and stable over the whole table, not dense; an
-    empty table gives no rows; extra columns are ignored.
+    up no room; copies are packed each; container numbers are unique over the whole table and the same in every run over
+    the same rows, not dense (rows that repeat a key and a text may trade places); an empty table gives no rows; extra
+    columns are ignored.
     """
     rows = cut(sized(documents, key, text, path))
-    total = rows.agg(F.sum("tokens")).first()[0] or 0
-    ranges = max(1, int(total // (capacity * RANGE)))
-    ordered = rows.repartitionByRange(ranges, "place", key).sortWithinPartitions("place", key)
+    ranged = _ranges(rows, key, capacity)
+    many = rows.agg(F.sum("tokens")).first()[0] or 0
+    # a task may hold several ranges; each is packed by itself
+    ordered = ranged.repartition(max(1, int(many // (capacity * RANGE))), "range").sortWithinPartitions("range", "place", key, "tokens")
 
     def make() -> Callable[..., Iterable[tuple]]:
-        first = TaskContext.get().partitionId() << 32
-        packer = Packer(capacity)
+        packers: dict[int, Packer] = {}
 
-        def step(ids: list, sizes: list) -> Iterable[tuple]:
-            for k, size in zip(ids, sizes):
-                for c, piece, at, n in packer.put(size):
-                    yield k, piece, first + c, at, n
+        def step(ranges: list, ids: list, sizes: list) -> Iterable[tuple]:
+            for r, k, size in zip(ranges, ids, sizes):
+                if r not in packers:
+                    packers.clear()  # ranges come one after the other
+                    packers[r] = Packer(capacity)
+                for c, piece, at, n in packers[r].put(size):
+                    yield k, piece, (r << 32) + c, at, n
 
         return step
 
     id_type = documents.schema[key].dataType.simpleString()
-    return map_rows(ordered.select(key, "tokens"), make, f"{key} {id_type}, piece int, container long, start_token long, tokens long")
+    return map_rows(ordered.select("range", key, "tokens"), make, f"{key} {id_type}, piece int, container long, start_token long, tokens long")
