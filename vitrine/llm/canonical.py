@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,7 +91,8 @@ def osa(a: str, b: str, most: int) -> int:
     return min(last[m], far)
 
 
-def _core(words: list[str]) -> list[str]:
+@lru_cache(maxsize=20_000)
+def _core(words: tuple[str, ...]) -> tuple[str, ...]:
     """Words without the one that most resembles "dynasty", "period" and the like, if others remain."""
     if len(words) < 2:
         return words
@@ -104,11 +106,13 @@ def _core(words: list[str]) -> list[str]:
 def fit(value: str, term: str, era: bool = False) -> float | None:
     """Edit distance of a value to a name of a term, words in either order; None where it is too far to be a typo."""
     most = max(1, min(4, int(0.34 * len(term) + 0.5)))
-    d = min(osa(value, term, most), osa(" ".join(sorted(value.split())), " ".join(sorted(term.split())), most))
+    d = osa(value, term, most)
+    if d and (" " in value or " " in term):
+        d = min(d, osa(" ".join(sorted(value.split())), " ".join(sorted(term.split())), most))
     if d > most:
         return None
     if era:
-        a, b = _core(value.split()), _core(term.split())
+        a, b = _core(tuple(value.split())), _core(tuple(term.split()))
         a, b = " ".join(a), " ".join(b)
         if osa(a, b, 3) > max(1, int(0.5 * len(b))):
             return None

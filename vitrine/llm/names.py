@@ -40,6 +40,8 @@ class Name(NamedTuple):
 
 def bare(text: str) -> str:
     """Lower case without accents; apostrophes, hyphens and points kept."""
+    if text.isascii():
+        return text.lower()
     t = unicodedata.normalize("NFD", text.replace("’", "'").replace("‘", "'"))
     return "".join(c for c in t if not unicodedata.combining(c)).lower()
 
