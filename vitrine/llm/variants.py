@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterable
 from itertools import combinations
 
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.llm.canonical import osa
@@ -25,7 +25,8 @@ from vitrine.runtime import cut, map_rows
 
 #: Segments of a form; two of them survive one edit.
 SEGMENTS = 4
-#: Forms shorter than this meet only when equal.
+#: Forms shorter than this are cut into no segments: they meet by what is left of them without one letter, and only where
+#: a year is known.
 SHORTEST = 6
 
 
@@ -39,11 +40,18 @@ def _key(*parts: object) -> int:
     return xxhash.xxh64_intdigest("\t".join(map(str, parts)).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def shortened(form: str) -> set[str]:
+    """A form without one of its letters, and itself: two forms within one edit have one of these in common."""
+    if not form.isascii() or len(form) < 3:
+        return set()  # a Chinese character is no slip of the pen
+    return {form, *[form[:i] + form[i + 1 :] for i in range(len(form))]}
+
+
 def index_keys(form: str, space: str) -> list[int]:
     """Keys of the inverted index: every pair of segments with their numbers and the form's length."""
     n = len(form)
     if n < SHORTEST:
-        return [_key(space, form)]
+        return [_key(space, form), *[_key(space, "-", x) for x in shortened(form)]]
     cut_up = [form[a:b] for a, b in _bounds(n)]
     return [_key(space, n, i, j, cut_up[i], cut_up[j]) for i, j in combinations(range(SEGMENTS), 2)]
 
@@ -52,7 +60,7 @@ def probe_keys(form: str, space: str, longer: bool) -> set[int]:
     """Keys under which the forms within one edit may be found: those of the same length, one shorter, and, if longer
     is set, one longer; the substrings are shifted by at most one, and never back again."""
     n = len(form)
-    out = {_key(space, form)} if n < SHORTEST + 1 else set()
+    out = {_key(space, form), *[_key(space, "-", x) for x in shortened(form)]} if n < SHORTEST + 1 else set()
     for length, shifts in ((n, (0,)), (n - 1, (0, 1)), *(((n + 1, (0, -1)),) if longer else ())):
         if length < SHORTEST:
             continue
@@ -78,7 +86,7 @@ def distance(a: list[Name], b: list[Name], dated: bool) -> float | None:
                 continue
             for f in x.full:
                 for g in y.full:
-                    d = osa(f, g, 1) if min(len(f), len(g)) >= SHORTEST else float(f != g) * 2
+                    d = osa(f, g, 1) if min(len(f), len(g)) >= SHORTEST or dated and f.isascii() and min(len(f), len(g)) >= 3 else float(f != g) * 2
                     if d == 1 and not dated and x.kind == "c" and is_pinyin(f) and is_pinyin(g):
                         continue  # two real names that are one letter apart, and no year to say they are one
                     if d <= 1:
@@ -93,7 +101,8 @@ def distance(a: list[Name], b: list[Name], dated: bool) -> float | None:
 
 
 def links(names: DataFrame, key: str = "alias_id") -> DataFrame:
-    """Verified links (a, b, d, dated) between names(key, alias, birth_year, death_year), each pair once or more."""
+    """Verified links (a, b, d, births) between names(key, alias, birth_year, death_year), each pair once or more; births is
+    the number of ends whose year is known."""
 
     def make_keys() -> Callable[..., Iterable[tuple]]:
         def step(ids: list, texts: list, births: list) -> Iterable[tuple]:
@@ -144,32 +153,36 @@ def links(names: DataFrame, key: str = "alias_id") -> DataFrame:
                 known[t] = read(t)
             return known[t]
 
-        def step(a: list, b: list, x: list, y: list, dated: list) -> Iterable[tuple]:
-            for i, j, s, t, both in zip(a, b, x, y, dated):
-                d = distance(reading(s), reading(t), both)
+        def step(a: list, b: list, x: list, y: list, known: list) -> Iterable[tuple]:
+            for i, j, s, t, births in zip(a, b, x, y, known):
+                d = distance(reading(s), reading(t), births == 2)
                 if d is not None:
-                    yield i, j, float(d), both
+                    yield i, j, float(d), births
 
         return step
 
-    both = F.expr("x_birth IS NOT NULL AND y_birth IS NOT NULL")
-    return map_rows(full.select("a", "b", "x", "y", both.alias("dated")), make_checks, f"a {kind}, b {kind}, d double, dated boolean")
+    births = F.expr("int(x_birth IS NOT NULL) + int(y_birth IS NOT NULL)")
+    return map_rows(full.select("a", "b", "x", "y", births.alias("births")), make_checks, f"a {kind}, b {kind}, d double, births int")
 
 
 def _notes(names: DataFrame, key: str) -> DataFrame:
-    """Per name (node): whether it has a full form, its short forms and its middle initial."""
+    """Per name (node, birth): whether it has a full form, its short forms and its middle initial; full is NULL for what
+    is no name."""
 
     def make() -> Callable[..., Iterable[tuple]]:
-        def step(ids: list, texts: list) -> Iterable[tuple]:
-            for i, text in zip(ids, texts):
+        def step(ids: list, texts: list, births: list) -> Iterable[tuple]:
+            for i, text, birth in zip(ids, texts, births):
                 got = read(text)
                 if got:
-                    yield i, any(n.full for n in got), sorted({s for n in got if n.kind in "cw" for s in n.short}), max((n.middle for n in got), default="")
+                    yield i, birth, any(n.full for n in got), sorted({s for n in got if n.kind in "cw" for s in n.short}), max((n.middle for n in got), default="")
+                elif birth is not None:
+                    yield i, birth, None, [], ""
 
         return step
 
     kind = names.schema[key].dataType.simpleString()
-    return map_rows(names.select(F.col(key).alias("id"), F.col("alias").cast("string")), make, f"node {kind}, full boolean, short array<string>, middle string")
+    rows = names.select(F.col(key).alias("id"), F.col("alias").cast("string"), F.col("birth_year").cast("int"))
+    return map_rows(rows, make, f"node {kind}, birth int, full boolean, short array<string>, middle string")
 
 
 def clusters(names: DataFrame, key: str = "alias_id") -> DataFrame:
@@ -180,42 +193,43 @@ def clusters(names: DataFrame, key: str = "alias_id") -> DataFrame:
     named are ignored.
     """
     found = cut(links(names, key))
-    dated = components(found.where("dated"))
-    years = cut(names.where("birth_year IS NOT NULL").select(F.col(key).alias("node"), F.col("birth_year").cast("int").alias("birth")))
-    home = years.join(dated, "node", "left").select("node", "birth", F.coalesce("component", "node").alias("home"))
-    home = cut(home)
-    notes = cut(_notes(names, key))
-    middles = home.join(notes.where("middle <> ''"), "node").groupBy("home").agg(F.collect_set("middle").alias("middles"))
-    weak = found.where("NOT dated")
-    either = weak.select(F.col("a").alias("n"), F.col("b").alias("node"), "d").unionByName(weak.select(F.col("b").alias("n"), F.col("a").alias("node"), "d"))
-    undated = F.col("n")
-    near = either.join(home, "node").join(years.select(F.col("node").alias("n")), "n", "left_anti").groupBy("n", "home", "birth").agg(F.min("d").alias("d"))
-    near = near.join(middles, "home", "left").join(notes.select(F.col("node").alias("n"), "middle"), "n", "left")
+    dated = components(found.where("births = 2"))
+    # every name with its home: the cluster of dated names it stands in, or itself
+    nodes = _notes(names, key).join(dated, "node", "left")
+    nodes = cut(nodes.withColumn("home", F.when(F.col("birth").isNotNull(), F.coalesce("component", "node"))).drop("component"))
+    homes = nodes.where("birth IS NOT NULL")
+    bare = nodes.where("birth IS NULL AND full IS NOT NULL")
+    # homes near a name without years, by the middle initials they allow
+    middles = homes.where("middle <> ''").groupBy("home").agg(F.collect_set("middle").alias("middles"))
+    mixed = found.where("births = 1")
+    either = mixed.select(F.col("a").alias("n"), F.col("b").alias("node"), "d").unionByName(mixed.select(F.col("b").alias("n"), F.col("a").alias("node"), "d"))
+    near = either.join(homes.select("node", "home", "birth"), "node").groupBy("n", "home", "birth").agg(F.min("d").alias("d"))
+    near = near.join(middles, "home", "left").join(bare.select(F.col("node").alias("n"), "middle"), "n", "left")
     near = near.where("middles IS NULL OR coalesce(middle, '') = '' OR array_contains(middles, middle)")
     # all homes as near as the nearest, if they are of one year
-    least = near.groupBy("n").agg(F.min("d").alias("least"))
-    near = near.join(least, "n").where(F.col("d") <= F.greatest("least", F.lit(0.0)))
-    clear = near.groupBy("n").agg(F.count_distinct("birth").alias("births")).where("births = 1").select("n")
-    joined = cut(near.join(clear, "n", "left_semi").select(undated.alias("a"), F.col("home").alias("b")))
+    of_name = Window.partitionBy("n")
+    close = near.withColumn("least", F.min("d").over(of_name)).where(F.col("d") <= F.greatest("least", F.lit(0.0)))
+    near = cut(close.withColumn("one_year", F.min("birth").over(of_name) == F.max("birth").over(of_name)).select("n", "home", "one_year"))
+    joined = near.where("one_year").select(F.col("n").alias("a"), F.col("home").alias("b"))
     claimed = near.select("n").distinct()
     # names without years that no dated name claims, among themselves
-    free = weak
+    free = found.where("births = 0")
     for end in ("a", "b"):
-        free = free.join(claimed.select(undated.alias(end)), end, "left_anti").join(years.select(F.col("node").alias(end)), end, "left_anti")
-    lonely = notes.where("full").join(years, "node", "left_anti").join(claimed.select(undated.alias("node")), "node", "left_anti").select("node")
+        free = free.join(claimed.withColumnRenamed("n", end), end, "left_anti")
     groups = components(free)
-    lonely = lonely.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("group"))
+    lonely = bare.where("full").join(claimed.withColumnRenamed("n", "node"), "node", "left_anti").join(groups, "node", "left")
+    lonely = cut(lonely.select("node", "short", "middle", F.coalesce("component", "node").alias("group")))
     # dated names of initials only, which no dated full name claims, and undated full names: each the other's only one
-    owned = home.join(notes.where("full"), "node").select("home").distinct()
-    bare = home.join(owned, "home", "left_anti").join(notes, "node").select("home", F.explode("short").alias("s"), "middle")
-    spelled = lonely.join(notes, "node").select("group", F.explode("short").alias("s"), F.col("middle").alias("m"))
-    meet = bare.join(spelled, "s").where("middle = '' OR m = '' OR middle = m").select("home", "group").distinct()
+    unowned = homes.groupBy("home").agg(F.max(F.coalesce("full", F.lit(False))).alias("owned")).where("NOT owned").select("home")
+    initials = homes.where("full IS NOT NULL").join(unowned, "home", "left_semi").select("home", F.explode("short").alias("s"), "middle")
+    spelled = lonely.select("group", F.explode("short").alias("s"), F.col("middle").alias("m"))
+    meet = cut(initials.join(spelled, "s").where("middle = '' OR m = '' OR middle = m").select("home", "group").distinct())
     one = meet.groupBy("group").agg(F.count("*").alias("n"), F.min("home").alias("home")).where("n = 1").join(meet.groupBy("home").agg(F.count("*").alias("k")).where("k = 1"), "home")
     # homes that undated names hold together, also over other homes, become the smallest of them
     pick = cut(joined.groupBy("a").agg(F.min("b").alias("to")))
     merged = components(joined.join(pick, "a").where("b <> to").select("to", "b").distinct(), "to", "b").select(F.col("node").alias("home"), F.col("component").alias("to"))
-    at_home = home.select("node", "home").unionByName(pick.select(F.col("a").alias("node"), F.col("to").alias("home")))
-    rest = lonely.join(one.select("group", "home"), "group", "left").select("node", F.coalesce("home", "group").alias("home"))
+    at_home = homes.select("node", "home").unionByName(pick.select(F.col("a").alias("node"), F.col("to").alias("home")))
+    rest = lonely.join(one.select("group", F.col("home").alias("own")), "group", "left").select("node", F.coalesce("own", "group").alias("home"))
     every = cut(at_home.unionByName(rest).join(merged, "home", "left").select("node", F.coalesce("to", "home").alias("component")))
     many = every.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
     return every.join(many, "component", "left_semi").select(F.col("node").alias(key), F.col("component").alias("cluster"))
