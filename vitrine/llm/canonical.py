@@ -8,6 +8,7 @@ candidates are then held against the value by edit distance, which decides the e
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterable
 from functools import lru_cache
@@ -19,6 +20,10 @@ from vitrine.runtime import cut, map_rows, small
 
 #: Jaccard from which a pair is a candidate.
 JACCARD = 0.4
+#: Entries this close to the most similar one are told apart by edit distance.
+CLOSE = 0.2
+#: Most tokens and entries of the lists that are sent to every task; larger lists are joined by shuffle.
+RANK_ROWS = 200_000
 #: Largest table of distinct values that is broadcast back to the rows.
 VALUE_ROWS = 200_000
 #: Words that say how sure a cataloguer was, or nothing at all.
@@ -133,22 +138,46 @@ def names(vocab: DataFrame) -> DataFrame:
 def set_join(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """Pairs (id, rid, part, jaccard) of left(id, part, tokens) and right(rid, part, tokens) whose token sets have a Jaccard
     similarity of at least threshold, found exactly: rarity order, prefixes, length and positional filter, verification.
-    Null or empty token arrays give no pairs; equal sets give pairs of similarity 1."""
-    both = left.select("part", F.explode("tokens").alias("t")).unionByName(right.select("part", F.explode("tokens").alias("t")))
-    rank = both.groupBy("part", "t").agg(F.count("*").alias("n"))
+    Null or empty token arrays give no pairs; equal sets give pairs of similarity 1.
 
-    def prefixes(df: DataFrame, key: str) -> DataFrame:
-        long = df.select(key, "part", F.size("tokens").alias("size"), F.explode("tokens").alias("t")).join(rank, ["part", "t"])
-        w = Window.partitionBy("part", key).orderBy("n", "t")
-        long = long.withColumn("pos", F.row_number().over(w))
-        return long.where(F.col("pos") <= F.col("size") - F.ceil(F.col("size") * threshold) + 1).select(key, "part", "t", "pos", "size")
+    Rarity is that among the lists' entries (right); what no entry has comes first, fills up a value's prefix and joins
+    nothing. So values are never exploded beyond the few tokens that can join, and ordering them needs no shuffle: the
+    ranks go to every task if a count proves them to be few, else they are joined.
+    """
+    rank = cut(right.select("part", F.explode("tokens").alias("t")).groupBy("part", "t").agg(F.count("*").alias("n")))
+    ranks = {(r.part, r.t): r.n for r in rank.collect()} if rank.count() <= RANK_ROWS else None
+
+    def keep(size: int) -> int:
+        return size - math.ceil(size * threshold - 1e-9) + 1
+
+    def here(df: DataFrame, key: str) -> DataFrame:
+        def make() -> Callable[..., Iterable[tuple]]:
+            def step(ids: list, parts: list, sets: list) -> Iterable[tuple]:
+                for i, part, tokens in zip(ids, parts, sets):
+                    n = len(tokens or ())
+                    order = sorted((ranks.get((part, t), 0), t) for t in tokens or ())
+                    for pos, (seen, t) in enumerate(order[: keep(n)] if n else (), 1):
+                        if seen:
+                            yield i, part, t, pos, n
+
+            return step
+
+        kind = df.schema[key].dataType.simpleString()
+        return map_rows(df.select(key, "part", "tokens"), make, f"{key} {kind}, part string, t string, pos int, size int")
+
+    def joined(df: DataFrame, key: str) -> DataFrame:
+        long = df.select(key, "part", F.size("tokens").alias("size"), F.explode("tokens").alias("t")).join(rank, ["part", "t"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        long = long.withColumn("pos", F.row_number().over(Window.partitionBy("part", key).orderBy("n", "t")))
+        return long.where((F.col("pos") <= F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1) & (F.col("n") > 0)).select(key, "part", "t", "pos", "size")
 
+    prefixes = joined if ranks is None else here
     a = prefixes(left, "id").withColumnsRenamed({"pos": "p", "size": "s"})
     b = prefixes(right, "rid").withColumnsRenamed({"pos": "q", "size": "z"})
     need = F.ceil((F.col("s") + F.col("z")) * threshold / (1 + threshold) - 1e-9)
     ok = (F.col("z") >= F.col("s") * threshold) & (F.col("s") >= F.col("z") * threshold) & (F.least(F.col("s") - F.col("p"), F.col("z") - F.col("q")) + 1 + F.least("p", "q") - 1 >= need)
-    pairs = a.join(b, ["part", "t"]).where(ok).select("id", "rid", "part").distinct()
-    pairs = pairs.join(left.select("id", "part", F.col("tokens").alias("x")), ["id", "part"]).join(right.select("rid", "part", F.col("tokens").alias("y")), ["rid", "part"])
+    pairs = a.join(small(cut(b), RANK_ROWS), ["part", "t"]).where(ok).select("id", "rid", "part").distinct()
+    there = small(right.select("rid", "part", F.col("tokens").alias("y")), RANK_ROWS)
+    pairs = pairs.join(left.select("id", "part", F.col("tokens").alias("x")), ["id", "part"]).join(there, ["rid", "part"])
     common = F.size(F.array_intersect("x", "y"))
     return pairs.withColumn("jaccard", common / (F.size("x") + F.size("y") - common)).where(F.col("jaccard") >= threshold).select("id", "rid", "part", "jaccard")
 
@@ -184,8 +213,10 @@ def map_values(rows: DataFrame, vocab: DataFrame, key: str = "seq", fields: tupl
         return step
 
     near = map_rows(pairs.select("id", "part", "words", "term", "term_id", "jaccard", "prior"), make, "id long, term_id int, d double, jaccard double, prior long")
-    # a pair that differs in one letter only in either direction is a tie of d; frequent entries win it
-    best = near.groupBy("id").agg(F.max_by("term_id", F.struct(-F.col("d"), F.col("prior"), F.col("jaccard"), -F.col("term_id"))).alias("term_id"))
+    # the most similar entry is kept; of entries about as similar the exact distance decides, and of equal distances the
+    # more frequent entry wins
+    close = near.withColumn("most", F.max("jaccard").over(Window.partitionBy("id"))).where(F.col("jaccard") >= F.col("most") - CLOSE)
+    best = close.groupBy("id").agg(F.max_by("term_id", F.struct(-F.col("d"), F.col("prior"), F.col("jaccard"), -F.col("term_id"))).alias("term_id"))
     mapped = free.select("part", "value", "id").join(best, "id", "left").select("part", "value", F.coalesce("term_id", F.lit(0)).alias("term_id"))
     mapped = small(cut(mapped), VALUE_ROWS)
     out = long.join(labels, ["part", "value"], "left_anti").join(mapped, ["part", "value"])
