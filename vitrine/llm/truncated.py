@@ -1,15 +1,17 @@
 """Texts cut off by field limits: is the end of the text one at which texts end?
 
 A backward character n-gram model (orders 1 to 6, read from the last character) is trained on every distinct text of a
-group (column, script, prose or note). For the last characters of a text it holds two likelihoods against each other:
+group (column, language, prose or note). For the last characters of a text it holds two likelihoods against each other:
 that a text *ends* after this context, and that it *goes on*; each order backs off to the next shorter one, and a text
 never votes for its own end. A text has lost its end where the log-odds of an end stay below the threshold of its
-group. Marks that a transfer leaves behind (an ellipsis set by the exporter, a broken character, tag or entity) are
+group, which is learned from the group's own texts: whole and cut ones make two heaps of log-odds, and the threshold
+stands where a value belongs to the lower heap with a set probability. Marks that a transfer leaves behind (an ellipsis set by the exporter, a broken character, tag or entity) are
 taken off first, so that the model learns from the wording alone; a text that bears one is cut whatever stands before it.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from zlib import crc32
@@ -33,8 +35,12 @@ BITS = 10
 BACKOFF = 20.0
 #: Places at which the last character must have been seen before its ends and continuations tell anything.
 EVIDENCE = 25
-#: The log-odds threshold of a group is the log-odds of an end at a place taken at random, plus this.
+#: Where a group's log-odds don't make two heaps, its threshold is the log-odds of an end at a random place plus this.
 MARGIN = 1.1
+#: Ends from which two heaps can be told, and how far apart (in log-odds) their means must be.
+HEAP_ENDS, HEAP_GAP = 200, 2.5
+#: How sure it must be that a value belongs to the heap of cut texts.
+CERTAIN = 0.99
 #: Longest text without any sentence end that may be a note.
 NOTE_CHARS = 90
 #: Largest result of the distinct texts that is broadcast back to the rows.
@@ -43,7 +49,37 @@ RESULT_ROWS = 500_000
 _MARK = re.compile(r"(?:\s*(?:…|\.{3}|\[\s*(?:\.{3}|…)\s*\]?|(?:…|\.{3})?\s*[\[(](?:truncated|more|cut|continued)[^\])]*[\])]?)\s*)$", re.I)
 _BROKEN = re.compile(r"(?:�+|&#?\w{0,8}|<\s*/?\w{0,12}(?:\s[^<>]*)?)$")
 _END = re.compile(r"[.!?。！？…]")
-_CJK = re.compile(r"[぀-ヿ㐀-鿿]")
+#: Scripts by a letter of theirs, and frequent words of languages written in Latin letters.
+SCRIPTS = {
+    1: re.compile(r"[぀-ヿ]"), 2: re.compile(r"[㐀-鿿]"), 3: re.compile(r"[가-힯]"), 4: re.compile(r"[Ѐ-ӿ]"), 5: re.compile(r"[ऀ-ॿ]"), 6: re.compile(r"[฀-๿]"), 7: re.compile(r"[؀-ۿ]"), 8: re.compile(r"[Ͱ-Ͽ]"), 9: re.compile(r"[֐-׿]"),
+}
+FREQUENT = {
+    10: ("der", "die", "das", "und", "ist", "mit", "von", "den", "dem", "ein", "eine", "wurde", "auf", "nicht"),
+    11: ("le", "les", "des", "une", "est", "dans", "par", "pour", "sur", "aux", "qui", "cette"),
+    12: ("el", "los", "las", "del", "una", "por", "para", "que", "fue", "con", "su"),
+    13: ("il", "della", "che", "di", "gli", "nel", "una", "sono", "per"),
+    0: ("the", "of", "and", "in", "was", "is", "with", "by", "from", "this", "his", "her", "at", "to", "a", "no"),
+}
+#: Numbers that a language may have.
+LANGUAGES = 16
+_ANY = re.compile(r"[^\x00-\x7f]")
+_FREQUENT = {w: [k for k, words in FREQUENT.items() if w in words] for words in FREQUENT.values() for w in words}
+
+
+def language(text: str) -> int:
+    """Number of the language a text is in, as its end shows: by script; in Latin letters by frequent words, 0 (English
+    and whatever says nothing else) unless two words at least speak for another language and more than for English."""
+    tail = text[-200:]
+    if _ANY.search(tail[-24:]):
+        for k, letters in SCRIPTS.items():
+            if letters.search(tail[-24:]):
+                return 2 if k == 1 else k
+    votes = dict.fromkeys(FREQUENT, 0)
+    for w in tail.lower().split():
+        for k in _FREQUENT.get(w, ()):
+            votes[k] += 1
+    best = max(votes, key=votes.get)
+    return best if votes[best] >= 2 and votes[best] > votes[0] else 0
 
 
 def _ends(text: str) -> tuple[str, int]:
@@ -89,7 +125,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not fields:
             continue
         bare, marks = zip(*map(_ends, texts))
-        groups = [f * 4 + 2 * bool(_CJK.search(t[-24:])) + (len(t) <= NOTE_CHARS and not _END.search(t)) for f, t in zip(fields, bare)]
+        groups = [2 * (f * LANGUAGES + language(t)) + (len(t) <= NOTE_CHARS and not _END.search(t)) for f, t in zip(fields, bare)]
         final = np.zeros(len(texts), np.int64)
         for g in set(groups):
             at = [i for i, x in enumerate(groups) if x == g and bare[i]]
@@ -114,6 +150,34 @@ def _long(df: DataFrame, fields: tuple[str, ...], *keep: Column) -> DataFrame:
     return df.select(*keep, values.alias("v")).select(*[c for c in df.select(*keep).columns], "v.field", "v.text").where(r"text rlike '\\S'").withColumn("h", F.xxhash64("field", "text"))
 
 
+def heaps(histogram: list[tuple[float, int]], base: float) -> float:
+    """The threshold of a group from its (log-odds, ends): two normal heaps are fitted by expectation-maximisation, from
+    the log-odds of a random place and from the largest value; the threshold is the value between their means below which
+    an end is lost with probability CERTAIN. Too few ends or heaps too close give ``base`` + MARGIN."""
+    x = np.array([v for v, _ in histogram], float)
+    w = np.array([n for _, n in histogram], float)
+    fallback = base + MARGIN
+    if w.sum() < HEAP_ENDS:
+        return fallback
+    mean, spread, share = np.array([base, x.max()]), np.array([1.0, 1.0]), np.array([0.2, 0.8])
+
+    def density(at: np.ndarray) -> np.ndarray:
+        return share * np.exp(-0.5 * ((at[:, None] - mean) / spread) ** 2) / spread + 1e-300
+
+    for _ in range(100):
+        p = density(x)
+        p = p / p.sum(1, keepdims=True) * w[:, None]
+        mass = p.sum(0) + 1e-9
+        mean = (p * x[:, None]).sum(0) / mass
+        spread = np.sqrt((p * (x[:, None] - mean) ** 2).sum(0) / mass) + 0.3
+        share = mass / mass.sum()
+    if mean[1] - mean[0] < HEAP_GAP or min(share) * w.sum() < 10:
+        return fallback
+    between = np.linspace(mean[0], mean[1], 400)
+    d = density(between)
+    return float(between[int(np.argmin(np.abs(np.log(d[:, 0]) - np.log(d[:, 1]) - math.log(CERTAIN / (1 - CERTAIN)))))])
+
+
 def end_odds(df: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """Per distinct text (field, h): group g, log-odds of an end after its last characters, threshold of the group, mark
     and length; no odds where the group has too little text to tell. Empty input gives an empty table."""
@@ -136,8 +200,15 @@ def end_odds(df: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
         return F.log(rate / (1 - rate))
 
     both = (log_odds(SHORT) + log_odds(ORDER)) / 2
-    odds = steps.where(F.col("steps")[0]["n"] >= EVIDENCE).select("g", "code", both.alias("odds"), (F.log(F.col("base") / (1 - F.col("base"))) + MARGIN).alias("threshold"))
-    return texts.select("field", "h", "g", "code", "mark", F.col("n").alias("chars")).join(odds, ["g", "code"], "left")
+    odds = cut(steps.where(F.col("steps")[0]["n"] >= EVIDENCE).select("g", "code", both.alias("odds"), F.log(F.col("base") / (1 - F.col("base"))).alias("random")))
+    # a histogram of the log-odds: some hundred bins for each of the few groups
+    bins = odds.join(contexts, ["g", "code"]).groupBy("g", F.round("odds", 1).alias("at")).agg(F.sum("e").alias("e"), F.min("random").alias("random"))
+    groups: dict[int, list] = {}
+    for r in bins.collect():
+        groups.setdefault(r.g, []).append((r["at"], r.e, r.random))
+    learned = [(g, heaps([(v, n) for v, n, _ in sorted(rows)], rows[0][2])) for g, rows in groups.items()]
+    thresholds = df.sparkSession.createDataFrame(learned, "g int, threshold double")
+    return texts.select("field", "h", "g", "code", "mark", F.col("n").alias("chars")).join(odds.drop("random"), ["g", "code"], "left").join(F.broadcast(thresholds), "g", "left")
 
 
 def cut_off(df: DataFrame, key: str = "seq", fields: tuple[str, ...] = FIELDS) -> DataFrame:
