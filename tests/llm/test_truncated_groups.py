@@ -14,15 +14,21 @@ def test_language(text, number):
     assert truncated.language(text) == number
 
 
-def test_threshold_parts_two_heaps():
+def bins(*values):
+    at, n = np.unique(np.concatenate(values).round(1), return_counts=True)
+    return list(zip(at.tolist(), n.tolist()))
+
+
+@pytest.mark.parametrize("size", [1, 30])
+def test_threshold_parts_two_heaps_at_every_size(size):
     rng = np.random.default_rng(1)
-    values = np.concatenate((rng.normal(-6, 0.8, 300), rng.normal(0, 0.8, 3000)))
-    bins, counts = np.unique(values.round(1), return_counts=True)
-    at = truncated.heaps(list(zip(bins.tolist(), counts.tolist())), -6.0)
-    assert -5 < at < -2
-    assert (values[:300] < at).mean() > 0.9 and (values[300:] < at).mean() < 0.01
+    lost, whole, sure = rng.normal(-7, 0.7, 300 * size), rng.normal(-2, 0.4, 3000 * size), rng.normal(4, 1, 400 * size)
+    at = truncated.valley(bins(lost, whole, sure), -5.5)
+    assert -5.5 < at < -3
+    assert (lost < at).mean() > 0.95 and (whole < at).mean() < 0.005
 
 
-def test_threshold_without_heaps_is_that_of_a_random_place():
-    assert truncated.heaps([(0.0, 50)], -5.0) == -5.0 + truncated.MARGIN
-    assert truncated.heaps([(-1.0, 5000), (0.0, 5000)], -1.0) == -1.0 + truncated.MARGIN
+def test_threshold_without_a_valley_is_that_of_a_random_place():
+    rng = np.random.default_rng(2)
+    assert truncated.valley([(0.0, 50)], -5.0) == -5.0 + truncated.MARGIN
+    assert truncated.valley(bins(rng.normal(-2, 1, 3000)), -3.0) == -3.0 + truncated.MARGIN

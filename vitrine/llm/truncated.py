@@ -5,13 +5,12 @@ group (column, language, prose or note). For the last characters of a text it ho
 that a text *ends* after this context, and that it *goes on*; each order backs off to the next shorter one, and a text
 never votes for its own end. A text has lost its end where the log-odds of an end stay below the threshold of its
 group, which is learned from the group's own texts: whole and cut ones make two heaps of log-odds, and the threshold
-stands where a value belongs to the lower heap with a set probability. Marks that a transfer leaves behind (an ellipsis set by the exporter, a broken character, tag or entity) are
+stands in the valley between them. Marks that a transfer leaves behind (an ellipsis set by the exporter, a broken character, tag or entity) are
 taken off first, so that the model learns from the wording alone; a text that bears one is cut whatever stands before it.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 from zlib import crc32
@@ -35,12 +34,10 @@ BITS = 10
 BACKOFF = 20.0
 #: Places at which the last character must have been seen before its ends and continuations tell anything.
 EVIDENCE = 25
-#: Where a group's log-odds don't make two heaps, its threshold is the log-odds of an end at a random place plus this.
+#: Where a group's log-odds show no valley, its threshold is the log-odds of an end at a random place plus this.
 MARGIN = 1.1
-#: Ends from which two heaps can be told, and how far apart (in log-odds) their means must be.
-HEAP_ENDS, HEAP_GAP = 200, 2.5
-#: How sure it must be that a value belongs to the heap of cut texts.
-CERTAIN = 0.99
+#: Ends from which a valley can be told.
+HEAP_ENDS = 200
 #: Longest text without any sentence end that may be a note.
 NOTE_CHARS = 90
 #: Largest result of the distinct texts that is broadcast back to the rows.
@@ -150,32 +147,30 @@ def _long(df: DataFrame, fields: tuple[str, ...], *keep: Column) -> DataFrame:
     return df.select(*keep, values.alias("v")).select(*[c for c in df.select(*keep).columns], "v.field", "v.text").where(r"text rlike '\\S'").withColumn("h", F.xxhash64("field", "text"))
 
 
-def heaps(histogram: list[tuple[float, int]], base: float) -> float:
-    """The threshold of a group from its (log-odds, ends): two normal heaps are fitted by expectation-maximisation, from
-    the log-odds of a random place and from the largest value; the threshold is the value between their means below which
-    an end is lost with probability CERTAIN. Too few ends or heaps too close give ``base`` + MARGIN."""
-    x = np.array([v for v, _ in histogram], float)
-    w = np.array([n for _, n in histogram], float)
+def valley(histogram: list[tuple[float, int]], base: float) -> float:
+    """The threshold of a group from its (log-odds, ends), rounded to tenths: the lowest place of the histogram, half a
+    unit wide, between the log-odds of a random place (``base``, a unit below it at least) and the heap of whole texts,
+    which begins where a quarter of the largest count is reached; of places as low but for chance, the nearest to ``base`` +
+    MARGIN. Too few ends, or no heap of cut texts on the left that
+    stands out, give ``base`` + MARGIN."""
     fallback = base + MARGIN
-    if w.sum() < HEAP_ENDS:
+    if sum(n for _, n in histogram) < HEAP_ENDS:
         return fallback
-    mean, spread, share = np.array([base, x.max()]), np.array([1.0, 1.0]), np.array([0.2, 0.8])
-
-    def density(at: np.ndarray) -> np.ndarray:
-        return share * np.exp(-0.5 * ((at[:, None] - mean) / spread) ** 2) / spread + 1e-300
-
-    for _ in range(100):
-        p = density(x)
-        p = p / p.sum(1, keepdims=True) * w[:, None]
-        mass = p.sum(0) + 1e-9
-        mean = (p * x[:, None]).sum(0) / mass
-        spread = np.sqrt((p * (x[:, None] - mean) ** 2).sum(0) / mass) + 0.3
-        share = mass / mass.sum()
-    if mean[1] - mean[0] < HEAP_GAP or min(share) * w.sum() < 10:
+    first = min(histogram)[0]
+    counts = np.zeros(int(round((max(histogram)[0] - first) * 10)) + 1)
+    for v, n in histogram:
+        counts[int(round((v - first) * 10))] += n
+    smooth = np.convolve(counts, np.ones(5), "same")
+    left = max(0, int(round((base - 1 - first) * 10)))
+    heap = np.flatnonzero(smooth[left:] >= smooth.max() / 4)
+    if not len(heap) or not heap[0]:
         return fallback
-    between = np.linspace(mean[0], mean[1], 400)
-    d = density(between)
-    return float(between[int(np.argmin(np.abs(np.log(d[:, 0]) - np.log(d[:, 1]) - math.log(CERTAIN / (1 - CERTAIN)))))])
+    between = smooth[left : left + heap[0]]
+    low = left + np.flatnonzero(between <= between.min() + 2 * np.sqrt(between.min()) + 2)
+    at = int(low[np.argmin(np.abs(first + low / 10 - fallback))])
+    if smooth[:at].max(initial=0) < 2 * between.min() + 5:
+        return fallback
+    return first + at / 10
 
 
 def end_odds(df: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
@@ -206,7 +201,7 @@ def end_odds(df: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
     groups: dict[int, list] = {}
     for r in bins.collect():
         groups.setdefault(r.g, []).append((r["at"], r.e, r.random))
-    learned = [(g, heaps([(v, n) for v, n, _ in sorted(rows)], rows[0][2])) for g, rows in groups.items()]
+    learned = [(g, valley([(v, n) for v, n, _ in rows], rows[0][2])) for g, rows in groups.items()]
     thresholds = df.sparkSession.createDataFrame(learned, "g int, threshold double")
     return texts.select("field", "h", "g", "code", "mark", F.col("n").alias("chars")).join(odds.drop("random"), ["g", "code"], "left").join(F.broadcast(thresholds), "g", "left")
 
