@@ -155,14 +155,16 @@ _CUTTERS: dict[str, list[tuple[str, re.Pattern]]] = {}
 def _long(df: DataFrame, key: str, source: str, kinds: dict[str, str]) -> DataFrame:
     """One row per non-empty field that holds any candidate delimiter: (key, source, field_name, value)."""
     fields = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("value")) for f in kinds]))
-    return df.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"), fields.alias("f")).select("key", "source", "f.field_name", "f.value").where(F.col("value").rlike(r'[;；|、\r\n,，"]|\s(?:/|&|and|https?://\S+)\s?'))
+    return df.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"), fields.alias("f")).select("key", "source", "f.field_name", "f.value").where(F.col("value").rlike(r'[;；|、\r\n,，"]|\s(?:/|&|and|https?://\S+|[\w.-]+/\S)\s?'))
 
 
 def infer_delimiters(df: DataFrame, source: str = "museum_id", kinds: dict[str, str] | None = None) -> DataFrame:
     """Per source, field and notation: values that may be read so, how many of them regularly, and the score.
 
-    score = smoothed share of regular readings x consistency, where consistency is the share of the readings whose
-    piece count no other candidate reading of equal regularity contradicts. Empty input gives an empty table.
+    score = smoothed share of regular readings x agreement x consistency of the piece counts. Agreement is the share of the
+    readings whose piece count no other candidate reading of equal regularity contradicts; consistency compares the
+    piece counts of all values of the source with each other: 1 / (1 + their variance over their squared mean), which is
+    1 where every value has as many pieces. Empty input gives an empty table.
     """
     kinds = kinds or KINDS
 
@@ -176,15 +178,18 @@ def infer_delimiters(df: DataFrame, source: str = "museum_id", kinds: dict[str,
                 best = max((r for *_, r in read), default=0)
                 for name, pieces, regular in read:
                     agree = all(len(p) == len(pieces) for _, p, r in read if r == best) if regular == best else False
-                    seen[source, field, name, regular == 1, agree] += 1
-            for (source, field, name, regular, agree), n in seen.items():
-                yield source, field, name, n, n if regular else 0, n if agree else 0
+                    seen[source, field, name, regular == 1, agree, len(pieces)] += 1
+            for (source, field, name, regular, agree, k), n in seen.items():
+                yield source, field, name, n, n if regular else 0, n if agree else 0, n * k, n * k * k
 
         return step
 
-    parts = map_rows(_long(df.withColumn("__k", F.lit(0)), "__k", source, kinds).select("source", "field_name", "value"), make, "source string, field_name string, notation string, n long, regular long, agreed long")
-    sums = parts.groupBy("source", "field_name", "notation").agg(*[F.sum(c).alias(c) for c in ("n", "regular", "agreed")])
-    return sums.withColumn("score", (F.col("regular") + 1) / (F.col("n") + 2) * (F.col("agreed") + 1) / (F.col("n") + 2))
+    parts = map_rows(_long(df.withColumn("__k", F.lit(0)), "__k", source, kinds).select("source", "field_name", "value"), make, "source string, field_name string, notation string, n long, regular long, agreed long, pieces long, squares long")
+    sums = parts.groupBy("source", "field_name", "notation").agg(*[F.sum(c).alias(c) for c in ("n", "regular", "agreed", "pieces", "squares")])
+    # the mean of the squares over the squared mean is 1 + variance over squared mean
+    consistency = F.col("pieces") * F.col("pieces") / (F.col("n") * F.col("squares"))
+    score = (F.col("regular") + 1) / (F.col("n") + 2) * (F.col("agreed") + 1) / (F.col("n") + 2) * consistency
+    return sums.withColumn("consistency", consistency).withColumn("score", score).drop("pieces", "squares")
 
 
 def split_packed(df: DataFrame, key: str = "seq", source: str = "museum_id", kinds: dict[str, str] | None = None) -> DataFrame:
