@@ -9,7 +9,7 @@ from vitrine.operators import changes, components, dedup, enrich, images, listin
 from vitrine.plans import pipelines
 from vitrine.sources import files, sinks
 from vitrine.sources.paged import PagedSource
-from vitrine.streaming.replay import replay
+from vitrine.streaming.replay import read_state, replay
 
 
 def rows(df):
@@ -177,9 +177,10 @@ def test_stream_replay_equals_batch(spark, tmp_path):
     args = (spark, src, sch, str(tmp_path / "state"), str(tmp_path / "feed"), str(tmp_path / "cp"), "object_id", ["title"])
     replay(*args, on_change=seen.append)
     replay(*args)
-    last = max(int(p.name.split("=")[1]) for p in (tmp_path / "state").glob("batch=*"))
-    final = {r.object_id: r.title for r in spark.read.schema(sch).parquet(str(tmp_path / "state" / f"batch={last}")).collect()}
+    final = {r.object_id: r.title for r in read_state(spark, str(tmp_path / "state"), sch).collect()}
     assert set(final) == {"1", "2", "3"} and sum(seen) >= 3
+    touched = [len(list(p.glob("part_of=*"))) for p in (tmp_path / "state").glob("batch=*")]
+    assert min(touched) == 0 and max(touched) <= 2, "a batch rewrites the parts its changes fall in"
     feed = spark.read.parquet(str(tmp_path / "feed"))
     assert feed.where("change_type = 'new'").count() == 3
 
@@ -192,10 +193,11 @@ def test_every_query_has_its_columns(spark):
         assert QUERIES[name](spark, "/root/testdata/sf0.001").columns
 
 
-@pytest.mark.parametrize("name", ["dedup_stages", "keys_and_slugs", "era_of_years", "snapshot_diff", "image_states", "triples"])
+@pytest.mark.parametrize("name", ["dedup_stages", "keys_and_slugs", "era_of_years", "snapshot_diff", "image_states", "triples", "resolved_masters", "resolved_aliases", "entity_triples", "all_properties", "run_summary", "loaded_table", "refreshed_records", "maker_segments", "image_repair", "maker_lookups"])
 def test_against_sql(spark, name):
     import duckdb
 
+    import vitrine.plans.field_queries  # noqa: F401
     from vitrine.plans.queries import QUERIES, SQL
 
     d = "/root/testdata/sf0.001"

@@ -9,7 +9,7 @@ from vitrine import schema
 from vitrine.functions import classify, pages, periods, text, urls
 from vitrine.operators import enrich, images, listing, quality, registry, repair, summary
 from vitrine.plans import jobs
-from vitrine.plans.queries import S_ID, artifact, query, s_norm, s_slug, s_strip
+from vitrine.plans.queries import S_ID, SQL, artifact, query, s_norm, s_slug, s_strip
 from vitrine.runtime import table
 
 
@@ -92,11 +92,8 @@ def lookup_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 S_GAP = "(" + " OR ".join(f"{s_strip(c)} = ''" for c in schema.ENRICHED) + ")"
 
 
-@query(S_LOOKUP + rf""", w AS (SELECT a.seq, substr(lower(regexp_replace({s_strip('artist')}, '[\s\x{{00a0}}\x{{3000}}]+', ' ', 'g')), 1, 400) AS artist_norm, n.name FROM artifact a JOIN n USING (seq) WHERE {s_strip('artist')} <> '' AND {S_GAP} AND n.name <> '')
+SQL["maker_lookups"] = (S_LOOKUP + rf""", w AS (SELECT a.seq, substr(lower(regexp_replace({s_strip('artist')}, '[\s\x{{00a0}}\x{{3000}}]+', ' ', 'g')), 1, 400) AS artist_norm, n.name FROM artifact a JOIN n USING (seq) WHERE {s_strip('artist')} <> '' AND {S_GAP} AND n.name <> '')
 SELECT artist_norm, arg_min(name, seq) AS name, count(*) AS "rows" FROM w GROUP BY artist_norm""")
-def makers_to_look_up(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The makers to look up, one per key, named as in the first record."""
-    return enrich.lookups(artifact(spark, sf_dir))
 
 
 @query(rf"""SELECT seq, {S_BARE.replace('{0}', 'artist')} AS bare, substr(trim(regexp_replace(regexp_replace({s_strip('artist')}, '(?i)\s*\((?:Chinese|Sino-Tibetan|active|born|after)[^)]*\)\s*', ' ', 'g'), '[\s\x{{00a0}}\x{{3000}}]+', ' ', 'g')), 1, 200) AS plain FROM artifact""")
@@ -444,13 +441,9 @@ S_SPLIT = s_parts("image_urls", r"\|")
 S_CHECKS = "SELECT image_url, arg_max(valid, (checked_at, check_id)) AS valid FROM (SELECT image_url, checked_at, check_id, CASE WHEN valid IS NULL THEN -1 WHEN valid THEN 1 ELSE 0 END AS valid FROM image_check WHERE image_url IS NOT NULL) GROUP BY image_url"
 
 
-@query(f"""WITH u AS (SELECT seq, list_filter(list_concat([trim(coalesce(image_url, ''))], {S_SPLIT}), lambda x: x <> '') AS l FROM artifact), e AS (SELECT seq, unnest(list_filter(l, lambda x, j: list_position(l, x) = j)) AS x, generate_subscripts(list_filter(l, lambda x, j: list_position(l, x) = j), 1) AS pos FROM u),
+SQL["image_repair"] = (f"""WITH u AS (SELECT seq, list_filter(list_concat([trim(coalesce(image_url, ''))], {S_SPLIT}), lambda x: x <> '') AS l FROM artifact), e AS (SELECT seq, unnest(list_filter(l, lambda x, j: list_position(l, x) = j)) AS x, generate_subscripts(list_filter(l, lambda x, j: list_position(l, x) = j), 1) AS pos FROM u),
 s AS (SELECT seq, bool_or(pos = 1 AND coalesce(c.valid, -1) = 0) AS bad, list(x ORDER BY pos) FILTER (c.valid = 1) AS ok FROM e LEFT JOIN ({S_CHECKS}) c ON c.image_url = e.x GROUP BY seq)
 SELECT a.seq, CASE WHEN coalesce(bad, false) THEN coalesce(ok[1], '') ELSE a.image_url END AS image_url, CASE WHEN coalesce(bad, false) THEN coalesce(array_to_string(ok, ' | '), '') ELSE a.image_urls END AS image_urls FROM artifact a LEFT JOIN s USING (seq)""")
-def repaired_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records after bad main images were replaced by their first good one."""
-    a = artifact(spark, sf_dir).select("seq", "image_url", "image_urls")
-    return images.repaired(a, table(spark, sf_dir, "image_check"))
 
 
 @query("SELECT museum_id, object_id, string_agg(DISTINCT p, ' | ' ORDER BY p) AS image_paths, count(DISTINCT p) AS image_count FROM (SELECT museum_id, trim(object_id) AS object_id, image_path AS p FROM artifact WHERE trim(image_path) <> '') GROUP BY ALL")
