@@ -145,6 +145,15 @@ def _back(doc: str, at: int, word: str) -> int | None:
     return None if to is None else at - to
 
 
+def _goes_on(doc: str, at: int, words: list[str], k: int) -> bool:
+    """Does word k stand where a changed word beside it, one letter longer or shorter, lets it stand? A changed word whose
+    neighbour doesn't follow is a rim and counts for nothing, so this spares its comparison."""
+    if k >= len(words) or at < 0:
+        return k < len(words)
+    w = words[k]
+    return doc.startswith(w, at) or doc.startswith(w, at + 1) or at > 0 and doc.startswith(w, at - 1)
+
+
 def run_at(doc: str, item: Item, place: int, at: int) -> tuple[int, int, int]:
     """(words, begin, end) of the longest run of the item's words around the hit item.text[place] = doc[at]."""
     fuzzy = item.need == WORDS
@@ -157,7 +166,7 @@ def run_at(doc: str, item: Item, place: int, at: int) -> tuple[int, int, int]:
         w = item.words[k]
         if doc.startswith(w, end):
             end += len(w)
-        elif fuzzy and k - changed > 1 and (to := _step(doc, end, w)) is not None:
+        elif fuzzy and k - changed > 1 and _goes_on(doc, end + len(w), item.words, k + 1) and (to := _step(doc, end, w)) is not None:
             end, changed = to, k
         else:
             break
@@ -169,7 +178,7 @@ def run_at(doc: str, item: Item, place: int, at: int) -> tuple[int, int, int]:
         w = item.words[k]
         if begin >= len(w) and doc.startswith(w, begin - len(w)):
             begin -= len(w)
-        elif fuzzy and changed - k > 1 and (to := _back(doc, begin, w)) is not None:
+        elif fuzzy and changed - k > 1 and k and _goes_on(doc, begin - len(w) - len(item.words[k - 1]), item.words, k - 1) and (to := _back(doc, begin, w)) is not None:
             begin, changed = to, k
         else:
             break
