@@ -87,9 +87,9 @@ def test_matches_unbounded_search():
             at += 1
             begins.append(at)
         scores = [rng.uniform(-9, 5) for _ in ends]
-        got = s._best(begins, ends, scores, "letters", 0.45)
+        got = s._best(begins, ends, scores, "letters", 0.35)
         best = [0.0]
         for j, end in enumerate(ends):
-            best.append(max(best[i] - 0.45 * (s.math.log(max(1, end - begins[i])) - s.MEAN["letters"]) ** 2 for i in range(j + 1)) + scores[j])
-        total = sum(scores[ends.index(b)] - 0.45 * (s.math.log(max(1, b - a)) - s.MEAN["letters"]) ** 2 for a, b in got)
+            best.append(max(best[i] - 0.35 * (s.math.log(max(1, end - begins[i])) - s.MEAN["letters"]) ** 2 for i in range(j + 1)) + scores[j])
+        total = sum(scores[ends.index(b)] - 0.35 * (s.math.log(max(1, b - a)) - s.MEAN["letters"]) ** 2 for a, b in got)
         assert total == pytest.approx(best[-1])

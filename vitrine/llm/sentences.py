@@ -77,7 +77,7 @@ _SIGN = re.compile(r'["“”„()\[\]（）«»「」『』《》【】]')
 class Weights:
     """What the parts of a span's score weigh; 0 leaves a part out."""
 
-    length: float = 0.45
+    length: float = 0.35
     opening: float = 1.0
     closing: float = 1.0
     balance: float = 7.0
@@ -111,7 +111,7 @@ def _dot(word: str, rest: str) -> float:
         follows = _TOKEN.match(rest)
         if follows and follows[0].endswith(".") and follows[0][:-1].lower() in LAST_ABBREVIATIONS:
             return -6.0
-        return -4.0 if rest[:1].isdigit() and len(low) < 3 else 1.5
+        return -4.0 if rest[:1].isdigit() and len(low) < 3 else 1.3
     if low in OPEN_ABBREVIATIONS or len(low) == 1 and low.isalpha() or last in OPEN_ABBREVIATIONS and "." in low:
         return -7.5
     if low.isdigit() and len(low) <= 2 and ORDINAL.match(rest):
@@ -128,7 +128,7 @@ def _opening(rest: str) -> float:
     first = rest[0]
     if first in _OPEN:
         inner = rest.lstrip(_OPEN + "   ")[:1]
-        return -9.0 if inner.islower() and first not in "¿¡" and not rest[1:3].strip().isupper() else 1.5
+        return -9.0 if inner.islower() and first not in "¿¡" and not rest[1:3].strip().isupper() else 1.3
     if first.islower():
         return 1.0 if rest[1:2].isupper() else -9.0  # "pH" opens, a word in small letters doesn't
     if first.isupper():
