@@ -12,6 +12,7 @@ from vitrine.functions import materials as material_texts
 from vitrine.functions import periods
 from vitrine.functions.text import artist_key, artist_segments, entity_uri, let, lookup_name, norm_key, slug, split_artists, split_cultures, strip
 from vitrine.operators.changes import last_known
+from vitrine.runtime import cut
 from vitrine.schema import COLUMNS
 
 #: Entity type, predicate.
@@ -64,7 +65,8 @@ def mentions(df: DataFrame, roles: tuple[str, ...] = tuple(RELATIONS)) -> DataFr
 def resolve(m: DataFrame) -> DataFrame:
     """mentions with canonical_id: a maker's own external id, else the last one its key had before, else a slug; every
     other entity a pure function of its key."""
-    # only makers have external ids, so no other entity needs a scan
+    # only makers have external ids, so no other entity needs a scan; the records are read once for all three passes
+    m = cut(m)
     makers = last_known(m.where("entity_type = 'Artist'"), "norm", "ext_id", "seq", "sub")
     makers = makers.withColumn("canonical_id", F.concat(F.lit("entity:artist:"), F.coalesce("known", slug("label")))).drop("known")
     name = F.when(F.col("entity_type") == "Museum", F.col("norm")).when(F.col("entity_type") == "Location", slug("label")).otherwise(slug("norm"))
