@@ -9,7 +9,7 @@ from vitrine import schema
 from vitrine.functions import classify, pages, periods, text, urls
 from vitrine.operators import enrich, images, listing, quality, registry, repair, summary
 from vitrine.plans import jobs
-from vitrine.plans.queries import S_ID, SQL, artifact, query, s_norm, s_slug, s_strip
+from vitrine.plans.queries import S_ERAS, S_ID, SQL, artifact, era_sql, query, s_norm, s_slug, s_strip
 from vitrine.runtime import table
 
 
@@ -462,3 +462,53 @@ def found_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+
+
+# ---- years and eras out of periods --------------------------------------------------------------------------------------
+
+_B = r"(?i)B\.?\s*C\.?|BCE|BC|公元前"
+_SPAN = r"(?i)([\d\s,BCEbc.\-]+?)\s*[-–—]\s*([\d\s,BCEbc.\-]+)"
+
+
+def _s_year(token: str) -> str:
+    n = rf"try_cast(nullif(regexp_extract({token}, '(-?\d{{1,4}})', 1), '') AS int)"
+    return f"CASE WHEN regexp_matches({token}, '{_B}') AND {n} > 0 THEN -{n} ELSE {n} END"
+
+
+_CENTURIES = r"list_transform(regexp_extract_all(t, '(?i)(?:(?:early|late|mid(?:dle)?)\s+)?(\d{1,2})(?:st|nd|rd|th)\s+century', 1), lambda d: d::int)"
+_DECADES = r"list_transform(regexp_extract_all(t, '(?i)(?:early|late|mid)?\s*(\d{3,4})s\b', 1), lambda d: d::int)"
+#: Years of every record's period: around a dash, one year, centuries, decades; the first that can be read.
+S_YEARS = rf"""w AS (SELECT seq, period, {s_strip('period')} AS t FROM artifact),
+z AS (SELECT *, regexp_matches(t, '(?i)century') AS cent, {_s_year(f"regexp_extract(t, '{_SPAN}', 1)")} AS a0, {_s_year(f"regexp_extract(t, '{_SPAN}', 2)")} AS b0,
+regexp_matches(t, '{_B}') AND NOT regexp_matches(regexp_replace(t, '(?i)B\.?\s*C\.?\s*E?\.?|公元前', ' ', 'g'), '(?i)C\.?\s*E\.|\bCE\b|AD|公元') AS neg,
+CASE WHEN regexp_matches(replace(t, '公元前', 'BCE'), '(?i)^[\d\s,BCEbc.\-]+$') THEN {_s_year('t')} END AS whole,
+CASE WHEN NOT regexp_matches(t, '\d+\s*[-–]\s*\d+') THEN CASE WHEN regexp_extract(t, '(?i)(\d{{3,4}})\s*(B\.?\s*C\.?|BCE|BC|公元前)?', 2) <> '' THEN -1 ELSE 1 END * try_cast(nullif(regexp_extract(t, '(?i)(\d{{3,4}})\s*(B\.?\s*C\.?|BCE|BC|公元前)?', 1), '') AS int) END AS loose,
+{_CENTURIES} AS c, {_DECADES} AS d FROM w),
+x AS (SELECT *, CASE WHEN neg THEN -abs(a0) ELSE a0 END AS a, CASE WHEN neg THEN -abs(b0) ELSE b0 END AS b, coalesce(whole, loose) AS one FROM z),
+v AS (SELECT seq, period, t, CASE WHEN NOT cent AND a IS NOT NULL AND b IS NOT NULL THEN [least(a, b), greatest(a, b)] WHEN NOT cent AND one IS NOT NULL THEN [one, one]
+WHEN len(c) > 0 THEN CASE WHEN regexp_matches(t, '(?i)\bB\.?\s*C\.?|BCE|BC|公元前') THEN [-list_max(c) * 100, -((list_min(c) - 1) * 100 + 1)] ELSE [(list_min(c) - 1) * 100 + 1, list_max(c) * 100] END
+WHEN len(d) > 0 THEN [floor(list_min(d) / 100)::int * 100, floor(list_max(d) / 100)::int * 100 + 99] END AS y FROM x)"""
+
+SQL["period_years"] = f'WITH {S_YEARS} SELECT seq, period, y[1] AS start, y[2] AS "end" FROM v'
+
+#: The era of every record: the text where it names an early culture, else the years (given or read), else the text.
+S_ROW_ERA = f"""{S_YEARS}, e(i, n, a, b, k) AS (VALUES {S_ERAS}),
+g AS (SELECT seq, v.t, lower(v.t) AS l, CASE WHEN period_start_year IS NULL AND period_end_year IS NULL THEN y[1] ELSE period_start_year END AS s0, CASE WHEN period_start_year IS NULL AND period_end_year IS NULL THEN y[2] ELSE coalesce(period_end_year, period_start_year) END AS e0 FROM v JOIN artifact USING (seq)),
+p AS (SELECT seq, least(s0, e0) AS s, greatest(s0, e0) AS f FROM g WHERE s0 IS NOT NULL AND e0 IS NOT NULL),
+near AS (SELECT seq, n FROM p JOIN e ON a <= f AND b >= s WHERE f - s + 1 <= 80 QUALIFY row_number() OVER (PARTITION BY seq ORDER BY least(f, b) - greatest(s, a) DESC, b - a, i) = 1),
+wide AS (SELECT seq, n FROM p JOIN e ON floor((s + f) / 2.0) BETWEEN a AND b WHERE f - s + 1 > 80 QUALIFY row_number() OVER (PARTITION BY seq ORDER BY k, b - a, i) = 1),
+h AS (SELECT g.seq, {era_sql()} AS et, coalesce(near.n, wide.n, '') AS ey, l FROM g LEFT JOIN near USING (seq) LEFT JOIN wide USING (seq)),
+row_era AS (SELECT seq, CASE WHEN et <> '' AND regexp_matches(l, '{periods.CULTURES}') THEN et WHEN ey <> '' THEN ey ELSE et END AS era FROM h)"""
+
+
+@query(f"WITH {S_ROW_ERA} SELECT seq, era FROM row_era")
+def row_eras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The era of every record, out of its period and years."""
+    return artifact(spark, sf_dir).select("seq", periods.era("period", "period_start_year", "period_end_year").alias("era"))
+
+
+@query(f"""WITH {S_ROW_ERA}, m AS (SELECT museum_id, object_id, CASE WHEN {s_strip('dynasty')} <> '' THEN {s_strip('dynasty')} ELSE era END AS label FROM artifact JOIN row_era USING (seq))
+SELECT DISTINCT {S_ID} AS "from", 'belongsToDynasty' AS relation, concat('entity:dynasty:', {s_slug(s_norm('label'))}) AS "to" FROM m WHERE label <> '' AND {s_norm('label')} <> ''""")
+def era_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relations of artifacts to eras, given or read."""
+    return registry.relations(registry.resolve(registry.mentions(artifact(spark, sf_dir), ("dynasty",))))

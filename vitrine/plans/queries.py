@@ -293,13 +293,13 @@ def era_of_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return artifact(spark, sf_dir).where("period_start_year IS NOT NULL").select("seq", periods.era_of_years("period_start_year", "period_end_year").alias("era"))
 
 
-def _era_sql() -> str:
+def era_sql() -> str:
     by = lambda names, at: sorted(names, key=lambda n: -len(n[at]))
     cases = [(f"contains(l, '{en.lower()}')", en, zh) for en, zh in by([n for n in periods.NAMES if " " in n[0]], 0)] + [(f"regexp_matches(l, '\\b{en.lower()}\\b')", en, zh) for en, zh in by([n for n in periods.NAMES if " " not in n[0]], 0)] + [(f"contains(t, '{zh}')", en, zh) for en, zh in by(periods.NAMES, 1)]
     return "CASE WHEN t = '' THEN '' " + " ".join(f"WHEN {c} THEN '{periods.shown(en, zh)}'" for c, en, zh in cases) + " ELSE '' END"
 
 
-@query(f"SELECT seq, {_era_sql()} AS era FROM (SELECT seq, t, lower(t) AS l FROM (SELECT seq, {s_strip('period')} AS t FROM artifact))")
+@query(f"SELECT seq, {era_sql()} AS era FROM (SELECT seq, t, lower(t) AS l FROM (SELECT seq, {s_strip('period')} AS t FROM artifact))")
 def era_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return artifact(spark, sf_dir).select("seq", periods.era_of_text("period").alias("era"))
 
