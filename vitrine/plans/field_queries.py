@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine import schema
-from vitrine.functions import classify, pages, periods, text, urls
+from vitrine.functions import classify, materials, pages, periods, text, urls
 from vitrine.operators import enrich, images, listing, quality, registry, repair, summary
 from vitrine.plans import jobs
 from vitrine.plans.queries import S_ERAS, S_ID, SQL, artifact, era_sql, query, s_norm, s_slug, s_strip
@@ -512,3 +512,57 @@ SELECT DISTINCT {S_ID} AS "from", 'belongsToDynasty' AS relation, concat('entity
 def era_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Relations of artifacts to eras, given or read."""
     return registry.relations(registry.resolve(registry.mentions(artifact(spark, sf_dir), ("dynasty",))))
+
+
+# ---- materials ------------------------------------------------------------------------------------------------------------
+
+
+def _squeezed(x: str) -> str:
+    return rf"regexp_replace({s_strip(x)}, '[\s\x{{00a0}}\x{{3000}}]+', ' ', 'g')"
+
+
+def _bare_of_measures(x: str) -> str:
+    return f"trim({_squeezed('regexp_replace(regexp_replace(' + x + ', ' + _MEASURES + ', ' + _SPACE + ', ' + _ALL + '), ' + _UNIT_WORDS + ', ' + _SPACE + ', ' + _ALL + ')')}, ' ,;.')"
+
+
+def _of_words(words: tuple[str, ...]) -> str:
+    return r"'(?i)\b(?:" + "|".join(words) + r")\b'"
+
+
+_MEASURES, _SPACE, _ALL, _UNIT_WORDS = "'(?i)" + "|".join(materials.MEASURES) + "'", "' '", "'g'", _of_words(materials.UNITS)
+_BY_LENGTH = [(a, m) for a, m in sorted(((a, m) for m, names in materials.ALIASES.items() for a in names), key=lambda p: -len(p[0])) if a.isascii()]
+_ALIASES = "[" + ", ".join(f"'{a}'" for a, _ in _BY_LENGTH) + "]"
+_CANONS = "[" + ", ".join(f"'{m}'" for _, m in _BY_LENGTH) + "]"
+
+
+def _named_in(x: str) -> str:
+    """Materials of the aliases in a lower-case text, longest first."""
+    found = f"regexp_extract_all(replace({x}, 'é', 'e'), {_of_words(tuple(a for a, _ in _BY_LENGTH))})"
+    horns = f"len(list_filter({found}, lambda o: o LIKE '% horn')) > len(list_filter(list_distinct({found}), lambda o: o LIKE '% horn'))"
+    every = f"list_concat({found}, CASE WHEN {horns} THEN ['horn'] ELSE [] END)"
+    return f"list_transform(list_sort(list_distinct(list_transform({every}, lambda o: list_position({_ALIASES}, o)))), lambda r: ({_CANONS})[r])"
+
+
+_ON = r"'(?is)^(.*?)\bon\s+([a-z][a-z\s-]{1,40}?)(?:\s*[;,.]|$)(.*)$'"
+_ONLY_SIZE = r"'(?i)^[\d./\s×x]+(?:mm|cm|m|in|ft)?$'"
+_NUMBERS = r"'(?i)^[\d./\s]+(?:mm|cm|m|in|ft)?$'"
+_KINDS = "(" + ", ".join(f"'{k}'" for k in materials.KINDS) + ")"
+_SUPPORTS = "[" + ", ".join(f"'{k}'" for k in materials.SUPPORTS) + "]"
+
+
+def _without_idle(x: str) -> str:
+    return _squeezed(f"regexp_replace(lower({x}), {_of_words(materials.IDLE)}, ' ', 'g')")
+
+
+SQL["material_extract"] = rf"""WITH t AS (SELECT seq, {_squeezed('material')} AS whole FROM artifact),
+p AS (SELECT *, list_filter(list_transform(string_split(whole, ';'), lambda x: {_squeezed('x')}), lambda x: x <> '') AS parts FROM t),
+s AS (SELECT seq, unnest(segs) AS seg, generate_subscripts(segs, 1) AS k FROM (SELECT seq, CASE WHEN whole = '' OR list_contains(parts, whole) THEN parts ELSE list_prepend(whole, parts) END AS segs FROM p)),
+u AS (SELECT *, lower(seg) AS low, {_bare_of_measures('seg')} AS rest FROM s),
+c AS (SELECT *, regexp_extract(rest, {_ON}, 2) AS sup FROM u),
+o AS (SELECT *, {_without_idle('sup')} AS x1, {_without_idle(f"CASE WHEN sup = '' THEN rest ELSE regexp_extract(rest, {_ON}, 1) || regexp_extract(rest, {_ON}, 3) END")} AS x2 FROM c),
+n AS (SELECT seq, k, CASE WHEN low IN {_KINDS} OR regexp_matches(low, {_of_words(materials.PLACED)}) OR regexp_matches(low, {_NUMBERS}) OR (regexp_matches(low, {_of_words(materials.STYLED + materials.INSCRIBED)}) AND len({_named_in('low')}) = 0) THEN []
+ELSE list_concat({_named_in('x1')}, {_named_in('x2')}, CASE WHEN regexp_matches(seg, {_of_words(('color', 'colors', 'colored'))}) THEN ['pigment'] ELSE [] END) END AS m FROM o),
+f AS (SELECT seq, flatten(list(m ORDER BY k)) AS every FROM n GROUP BY seq),
+d AS (SELECT p.seq, whole, coalesce(list_filter(every, lambda x, i: list_position(every, x) = i)[1:12], []) AS found, list_filter(list_transform(parts, lambda x: {_bare_of_measures('x')}), lambda x: x <> '' AND NOT regexp_matches(x, {_ONLY_SIZE}) AND {_bare_of_measures('x')} <> '') AS kept FROM p LEFT JOIN f USING (seq)),
+q AS (SELECT *, array_to_string(list_filter(kept, lambda x, i: list_position(list_transform(kept, lambda y: lower(y)), lower(x)) = i), '; ') AS joined FROM d)
+SELECT seq, array_to_string(found, ' | ') AS base, coalesce(list_filter({_SUPPORTS}, lambda x: list_contains(found, x))[1], found[1], '') AS primary_material, CASE WHEN contains(whole, ';') AND joined <> '' THEN joined ELSE {_bare_of_measures('whole')} END AS material_clean FROM q"""
