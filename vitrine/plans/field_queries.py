@@ -566,3 +566,31 @@ f AS (SELECT seq, flatten(list(m ORDER BY k)) AS every FROM n GROUP BY seq),
 d AS (SELECT p.seq, whole, coalesce(list_filter(every, lambda x, i: list_position(every, x) = i)[1:12], []) AS found, list_filter(list_transform(parts, lambda x: {_bare_of_measures('x')}), lambda x: x <> '' AND NOT regexp_matches(x, {_ONLY_SIZE}) AND {_bare_of_measures('x')} <> '') AS kept FROM p LEFT JOIN f USING (seq)),
 q AS (SELECT *, array_to_string(list_filter(kept, lambda x, i: list_position(list_transform(kept, lambda y: lower(y)), lower(x)) = i), '; ') AS joined FROM d)
 SELECT seq, array_to_string(found, ' | ') AS base, coalesce(list_filter({_SUPPORTS}, lambda x: list_contains(found, x))[1], found[1], '') AS primary_material, CASE WHEN contains(whole, ';') AND joined <> '' THEN joined ELSE {_bare_of_measures('whole')} END AS material_clean FROM q"""
+
+
+# ---- the whole registry: eras and materials beside the other entities ---------------------------------------------------
+
+_MORE = f"""
+UNION ALL SELECT seq, museum_id, object_id, 2.5, 0, 'Dynasty', l, {s_norm('l')}, '', 'dynasty' FROM (SELECT b.*, CASE WHEN {s_strip('dynasty')} <> '' THEN {s_strip('dynasty')} ELSE era END AS l FROM b JOIN eras USING (seq)) WHERE l <> ''
+UNION ALL SELECT seq, museum_id, object_id, 3.3, i, 'Material', x, {s_norm('x')}, '', 'material' FROM (SELECT b.*, unnest(string_split(base, ' | ')) AS x, generate_subscripts(string_split(base, ' | '), 1) AS i FROM b JOIN mats USING (seq)) WHERE x <> ''
+UNION ALL SELECT seq, museum_id, object_id, 3.6, 0, 'Material', primary_material, {s_norm('primary_material')}, '', 'primary' FROM b JOIN mats USING (seq) WHERE primary_material <> ''"""
+S_REGISTRY = S_MENTIONS.replace(", b AS (SELECT a.*", f", eras AS (WITH {S_ROW_ERA} SELECT seq, era FROM row_era), mats AS ({SQL['material_extract']}), b AS (SELECT a.*", 1)
+S_REGISTRY = S_REGISTRY.replace("),\nm AS (SELECT *, last_value", _MORE + "),\nm AS (SELECT *, last_value", 1)
+
+SQL["entity_masters"] = S_REGISTRY + """ SELECT id AS canonical_id, arg_min(kind, (seq, s, i)) AS entity_type, arg_min(label, (seq, s, i)) AS label, arg_min(norm, (seq, s, i)) AS norm_label, coalesce(arg_min(nullif(ext, ''), (seq, s, i)) FILTER (ext <> ''), '') AS external_id, count(*) AS source_count,
+'https://data.example/' || replace(url_encode(replace(id, ':', '/')), '%2F', '/') AS uri FROM r GROUP BY id"""
+SQL["entity_aliases"] = S_REGISTRY + SQL["resolved_aliases"].removeprefix(S_MENTIONS)
+
+_RELATION = "CASE role " + " ".join(f"WHEN '{role}' THEN '{name}'" for role, name in registry.RELATIONS.items()) + " END"
+
+
+@query(S_REGISTRY + f' SELECT DISTINCT {S_ID} AS "from", {_RELATION} AS relation, id AS "to" FROM r')
+def all_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All eight relations of the graph."""
+    return registry.relations(registry.resolve(registry.mentions(artifact(spark, sf_dir))))
+
+
+@query(f"""SELECT DISTINCT {S_ID} AS "from", r AS relation, v AS "to" FROM (SELECT museum_id, object_id, unnest(['materialSummary', 'materialBase', 'materialPrimary']) AS r, unnest([{s_strip('material')}, base, primary_material]) AS v FROM artifact JOIN ({SQL['material_extract']}) USING (seq)) WHERE v <> ''""")
+def material_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three properties that are read out of the material."""
+    return registry.properties(artifact(spark, sf_dir)).where(F.col("relation").isin("materialSummary", "materialBase", "materialPrimary"))
