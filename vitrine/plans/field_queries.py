@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine import schema
-from vitrine.functions import classify, materials, pages, periods, text, urls
+from vitrine.functions import classify, materials, pages, periods, records, text, urls
 from vitrine.operators import enrich, images, listing, quality, registry, repair, summary
 from vitrine.plans import jobs
 from vitrine.plans.queries import S_ERAS, S_ID, SQL, artifact, era_sql, query, s_norm, s_slug, s_strip
@@ -594,3 +594,31 @@ def all_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
 def material_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three properties that are read out of the material."""
     return registry.properties(artifact(spark, sf_dir)).where(F.col("relation").isin("materialSummary", "materialBase", "materialPrimary"))
+
+
+# ---- standard records -----------------------------------------------------------------------------------------------------
+
+
+def _s_value(x: str) -> str:
+    return f"CASE WHEN lower({s_strip(x)}) IN ('none', 'null', 'nan') THEN '' ELSE {s_strip(x)} END"
+
+
+_CELLS = ("title", "period", "artist", "culture", "provenance", "description", "location", "artist_province", "accession_number", "object_id")
+_PROVINCE = SQL["provinces"].replace("concat_ws(' ', artist_province, culture, provenance) AS t FROM artifact", "concat_ws(' ', culture, provenance, description, artist, location) AS t FROM g")
+
+
+@query(f"""WITH yr AS (WITH {S_YEARS} SELECT seq, y FROM v), st AS ({SQL['standard_types']}), me AS (SELECT seq, material_clean FROM ({SQL['material_extract']})),
+k AS (SELECT a.*, st.standard, me.material_clean, coalesce(y[1]::varchar, coalesce(period_start_year::varchar, '')) AS y1, coalesce(y[2]::varchar, coalesce(period_end_year::varchar, '')) AS y2 FROM artifact a JOIN yr USING (seq) JOIN st USING (seq) JOIN me USING (seq)),
+g AS (SELECT seq, {', '.join(f'{_s_value(c)} AS {c}' for c in _CELLS)}, {_s_value('standard')} AS type, {_s_value('material_clean')} AS material, standard, material_clean, y1, y2, try_cast(trim(y1) AS int) AS s0, try_cast(trim(y2) AS int) AS e0 FROM k),
+e(i, n, a, b, r) AS (VALUES {S_ERAS}), p AS (SELECT seq, least(s0, coalesce(e0, s0)) AS s, greatest(s0, coalesce(e0, s0)) AS f FROM g WHERE s0 IS NOT NULL),
+near AS (SELECT seq, n FROM p JOIN e ON a <= f AND b >= s WHERE f - s + 1 <= 80 QUALIFY row_number() OVER (PARTITION BY seq ORDER BY least(f, b) - greatest(s, a) DESC, b - a, i) = 1),
+wide AS (SELECT seq, n FROM p JOIN e ON floor((s + f) / 2.0) BETWEEN a AND b WHERE f - s + 1 > 80 QUALIFY row_number() OVER (PARTITION BY seq ORDER BY r, b - a, i) = 1),
+h AS (SELECT seq, {era_sql()} AS et, l FROM (SELECT seq, period AS t, lower(period) AS l FROM g)),
+pr AS ({_PROVINCE}), ty AS ({SQL['inferred_types'].replace(' FROM artifact', ' FROM g')}),
+o AS (SELECT g.*, coalesce(near.n, wide.n, '') AS ey, et, l, CASE WHEN g.artist_province = '' THEN pr.province ELSE {s_strip('a.artist_province')} END AS place, ty.inferred, a.culture AS culture0, a.accession_number AS acc0, a.artist_birth, a.crawl_date FROM g LEFT JOIN near USING (seq) LEFT JOIN wide USING (seq) JOIN h USING (seq) JOIN pr USING (seq) JOIN ty USING (seq) JOIN artifact a USING (seq))
+SELECT seq, y1 AS period_start_year, y2 AS period_end_year, CASE WHEN et <> '' AND regexp_matches(l, '{periods.CULTURES}') THEN et WHEN ey <> '' THEN ey ELSE et END AS dynasty, place AS artist_province, CASE WHEN type = '' AND material <> '' THEN inferred ELSE standard END AS type, CASE WHEN material = '' AND type <> '' THEN type ELSE material_clean END AS material,
+CASE WHEN culture = '' AND {_s_value('place')} <> '' THEN 'China' ELSE {s_strip('culture0')} END AS culture, CASE WHEN accession_number = '' AND regexp_matches(object_id, '[\\d.]') THEN object_id ELSE {s_strip('acc0')} END AS accession_number, crawl_date::varchar AS crawl_date FROM o""")
+def standard_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records in standard form, with their gaps filled from their other fields."""
+    out = records.standardise(artifact(spark, sf_dir), ("seq",))
+    return out.select("seq", "period_start_year", "period_end_year", "dynasty", "artist_province", "type", "material", "culture", "accession_number", "crawl_date")
