@@ -622,3 +622,38 @@ def standard_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records in standard form, with their gaps filled from their other fields."""
     out = records.standardise(artifact(spark, sf_dir), ("seq",))
     return out.select("seq", "period_start_year", "period_end_year", "dynasty", "artist_province", "type", "material", "culture", "accession_number", "crawl_date")
+
+
+# ---- records built from what sources deliver ------------------------------------------------------------------------------
+
+
+@query(f"""SELECT rec_id::varchar AS object_id, '4' AS museum_id, CASE WHEN {_s_value('title')} = '' THEN '(untitled)' ELSE {_s_value('title')} END AS title, {_s_value('people')} AS artist,
+{_s_value(f"CASE WHEN {s_strip('period')} <> '' THEN {s_strip('period')} ELSE {s_strip('dated')} END")} AS period, {_s_value('creditline')} AS credit_line, {_s_value('lastupdate')} AS source_updated_at FROM object_record""")
+def built_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records built from an object API's JSON: what no gap is filled in."""
+    from vitrine.plans.queries import object_records  # noqa: PLC0415
+
+    return object_records(spark, sf_dir).select("object_id", "museum_id", "title", "artist", "period", "credit_line", "source_updated_at")
+
+
+@query(f"""SELECT concat('S', seq) AS object_id, CASE WHEN {_s_value('title')} = '' THEN '(untitled)' ELSE {_s_value('title')} END AS title, {_s_value('credit')} AS credit_line, concat('https://x.example/objects/', seq) AS detail_url, '3' AS museum_id
+FROM (SELECT seq, {_squeezed('title')} AS title, {_squeezed('credit_line')} AS credit FROM artifact)""")
+def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records read out of object pages, here pages made of every record."""
+    a = artifact(spark, sf_dir)
+    shown = lambda c: F.replace(F.replace(F.replace(F.coalesce(F.col(c), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    field = lambda name, value: F.concat(F.lit(f'<div class="detailField {name}"><span class="detailFieldLabel">Label</span><span class="detailFieldValue">'), value, F.lit("</span></div>"))
+    html = F.concat(F.lit("<html><body>"), field("titleField", shown("title")), field("creditlineField", shown("credit_line")), field("invnolineField", F.concat(F.lit("S"), "seq")), F.lit("</body></html>"))
+    pages_of = a.select(F.concat(F.lit("https://x.example/objects/"), "seq", F.lit(";jsession?x=1")).alias("url"), html.alias("html"))
+    return records.from_pages(pages_of).select("object_id", "title", "credit_line", "detail_url", "museum_id")
+
+
+@query(f"""SELECT concat('edan-', seq) AS object_id, CASE WHEN {_s_value('title')} = '' THEN '(untitled)' ELSE {_s_value('title')} END AS title, {_s_value('artist')} AS artist, {_s_value('credit_line')} AS credit_line, CASE WHEN {_s_value('accession_number')} = '' THEN concat('edan-', seq) ELSE {_s_value('accession_number')} END AS acc, concat('https://x.example/', seq, '.jpg') AS image_url, '1' AS museum_id FROM artifact""")
+def open_access_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records built from open-access JSON lines, here lines made of every record."""
+    a = artifact(spark, sf_dir)
+    media = F.struct(F.array(F.struct(F.lit("Screen Image").alias("label"), F.concat(F.lit("https://x.example/"), "seq", F.lit(".jpg")).alias("url"))).alias("media"))
+    d = F.struct(F.concat(F.lit("edan-"), "seq").alias("record_ID"), media.alias("online_media"), F.col("accession_number").alias("accessionNumber"))
+    content = F.struct(d.alias("descriptiveNonRepeating"), F.struct(F.array(F.struct(F.col("artist").alias("content"))).alias("name"), F.array(F.struct(F.col("credit_line").alias("content"))).alias("creditLine")).alias("freetext"))
+    lines = a.select(F.to_json(F.struct(F.col("title"), content.alias("content"))).alias("value"))
+    return records.from_open_access(lines).select("object_id", "title", "artist", "credit_line", F.col("accession_number").alias("acc"), "image_url", "museum_id")
