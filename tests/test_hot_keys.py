@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.materials import cleaned, materials, primary
 from vitrine.operators import changes, dedup, enrich
-from vitrine.runtime import join_keyed
+from vitrine.runtime import join_counted, join_keyed
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +22,12 @@ def test_join_keyed_is_a_join(spark, rows, how):
     assert join_keyed(rows.limit(0), right, ["k"], how).count() == 0
 
 
+@pytest.mark.parametrize("bound", [0, 100])
+def test_join_counted_is_a_join_either_way(spark, rows, bound):
+    right = spark.createDataFrame([("Hot Maker",), ("maker 7",)], "k string")
+    assert join_counted(rows, right, ["k"], "left_semi", bound).count() == rows.where("k IN ('Hot Maker', 'maker 7')").count()
+
+
 def test_last_known_against_one_window(spark, rows):
     values = rows.withColumn("v", F.when(F.col("seq") % 997 == 3, F.concat(F.lit("Q"), "seq")))
     spread = values.withColumn("seq", F.col("seq") * 50)  # many stretches

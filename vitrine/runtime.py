@@ -92,6 +92,12 @@ def join_keyed(left: DataFrame, right: DataFrame, keys: list[str], how: str = "l
     return out
 
 
+def join_counted(left: DataFrame, right: DataFrame, keys: list[str], how: str, rows: int) -> DataFrame:
+    """left joined with right, a written table of one row a key: broadcast if a count proves that it has at most ``rows``
+    rows, else by shuffle with hot keys kept where their rows are."""
+    return left.join(F.broadcast(right), keys, how) if right.limit(rows + 1).count() <= rows else join_keyed(left, right, keys, how)
+
+
 def blank(col: Column) -> Column:
     """NULL for NULL, empty and white-space-only strings, else the string without surrounding white space."""
     return F.nullif(F.regexp_replace(col, r"^[\s 　]+|[\s 　]+$", ""), F.lit(""))
