@@ -16,7 +16,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.runtime import cut, map_rows, small
+from vitrine.runtime import cut, join_counted, map_rows, small
 
 #: Jaccard from which a pair is a candidate.
 JACCARD = 0.4
@@ -218,6 +218,5 @@ def map_values(rows: DataFrame, vocab: DataFrame, key: str = "seq", fields: tupl
     close = near.withColumn("most", F.max("jaccard").over(Window.partitionBy("id"))).where(F.col("jaccard") >= F.col("most") - CLOSE)
     best = close.groupBy("id").agg(F.max_by("term_id", F.struct(-F.col("d"), F.col("prior"), F.col("jaccard"), -F.col("term_id"))).alias("term_id"))
     mapped = free.select("part", "value", "id").join(best, "id", "left").select("part", "value", F.coalesce("term_id", F.lit(0)).alias("term_id"))
-    mapped = small(cut(mapped), VALUE_ROWS)
-    out = long.join(labels, ["part", "value"], "left_anti").join(mapped, ["part", "value"])
+    out = join_counted(long.join(labels, ["part", "value"], "left_anti"), cut(mapped), ["part", "value"], "inner", VALUE_ROWS)
     return out.select(F.col("key").alias(key), F.col("part").alias("field_name"), "term_id")

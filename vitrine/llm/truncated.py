@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.residue import residue
-from vitrine.runtime import cut, small
+from vitrine.runtime import cut, join_counted, small
 
 FIELDS = ("artist_bio", "artist_wikipedia_summary", "description")
 ORDER = 6
@@ -216,10 +216,11 @@ def cut_off(df: DataFrame, key: str = "seq", fields: tuple[str, ...] = FIELDS) -
     scored = end_odds(df, fields)
     lost = cut(scored.where((F.col("mark") > 0) | (F.col("odds") < F.col("threshold"))).select("field", "h"))
     # page and template matter is another operator's case: its labels are spread over the wordings in question
-    rows = _long(df, fields, F.col(key).alias("key")).join(small(lost, RESULT_ROWS), ["field", "h"], "left_semi")
+    rows = _long(df, fields, F.col(key).alias("key"))
+    rows = join_counted(rows, lost, ["field", "h"], "left_semi", RESULT_ROWS)
     texts = cut(rows.groupBy("field", "h").agg(F.first("text").alias("text")))
     matter = residue(texts.withColumn("id", F.struct("field", "h")), "id", ("text",)).select("id.field", "id.h")
-    kept = rows.join(small(cut(lost.join(matter, ["field", "h"], "left_anti")), RESULT_ROWS), ["field", "h"], "left_semi")
+    kept = join_counted(rows, cut(lost.join(matter, ["field", "h"], "left_anti")), ["field", "h"], "left_semi", RESULT_ROWS)
     return kept.select(F.col("key").alias(key), F.element_at(F.array(*map(F.lit, fields)), F.col("field") + 1).alias("field_name"))
 
 
