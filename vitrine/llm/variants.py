@@ -1,9 +1,10 @@
 """Variant spellings of one person, firm or workshop: a pigeonhole segment join over the forms of names.
 
 Every name is read into forms (order, romanisation, abbreviations and nicknames normalised; see ``names``). A form is
-cut into k + 3 segments (k = 1 edit, where a swap of neighbours that straddles a cut spoils two), so that two segments
-of any form within one edit stay whole; pairs of segments are the keys of the inverted index, looked up at positions
-shifted by what an insertion or deletion can move. Candidates are verified by banded edit distance and by what else is
+cut into twelve segments. One edit spoils one of them, or two neighbours if a swap straddles a cut, and all others stay
+whole; what is left without two neighbours is a key of the inverted index, looked up with the letters behind the gap
+shifted by what an insertion or deletion moves. A surname that many share is never a key by itself, so candidates grow
+with the names and not with their square. Candidates are verified by banded edit distance and by what else is
 known: years, given names, middle initials. Names with a year meet only within that year, which also lets surname and
 initials stand for a person; a name without years joins the nearest dated one only if there is no second as near.
 Verified links make connected components.
@@ -12,7 +13,6 @@ Verified links make connected components.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from itertools import combinations
 
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -23,8 +23,8 @@ from vitrine.llm.names import Name, agree, is_pinyin, read
 from vitrine.operators.components import components
 from vitrine.runtime import cut, map_rows
 
-#: Segments of a form; two of them survive one edit.
-SEGMENTS = 4
+#: Segments of a form (of a shorter one, as many as its letters); one edit spoils two neighbours at most.
+SEGMENTS = 12
 #: Forms shorter than this are cut into no segments: they meet by what is left of them without one letter, and only where
 #: a year is known.
 SHORTEST = 6
@@ -32,7 +32,8 @@ SHORTEST = 6
 
 def _bounds(n: int) -> list[tuple[int, int]]:
     """The even cuts of a form of n characters."""
-    cuts = [n * i // SEGMENTS for i in range(SEGMENTS + 1)]
+    m = min(SEGMENTS, n)
+    cuts = [n * i // m for i in range(m + 1)]
     return list(zip(cuts, cuts[1:]))
 
 
@@ -48,31 +49,23 @@ def shortened(form: str) -> set[str]:
 
 
 def index_keys(form: str, space: str) -> list[int]:
-    """Keys of the inverted index: every pair of segments with their numbers and the form's length."""
+    """Keys of the inverted index: the form without two neighbouring segments, with their number and the form's length."""
     n = len(form)
     if n < SHORTEST:
         return [_key(space, form), *[_key(space, "-", x) for x in shortened(form)]]
-    cut_up = [form[a:b] for a, b in _bounds(n)]
-    return [_key(space, n, i, j, cut_up[i], cut_up[j]) for i, j in combinations(range(SEGMENTS), 2)]
+    bounds = _bounds(n)
+    return [_key(space, n, i, form[:a], form[b:]) for i, ((a, _), (_, b)) in enumerate(zip(bounds, bounds[1:]))]
 
 
 def probe_keys(form: str, space: str, longer: bool) -> set[int]:
     """Keys under which the forms within one edit may be found: those of the same length, one shorter, and, if longer
-    is set, one longer; the substrings are shifted by at most one, and never back again."""
+    is set, one longer; behind the gap the letters are shifted by the difference."""
     n = len(form)
     out = {_key(space, form), *[_key(space, "-", x) for x in shortened(form)]} if n < SHORTEST + 1 else set()
-    for length, shifts in ((n, (0,)), (n - 1, (0, 1)), *(((n + 1, (0, -1)),) if longer else ())):
-        if length < SHORTEST:
-            continue
-        bounds = _bounds(length)
-        for i, j in combinations(range(SEGMENTS), 2):
-            for s in shifts:
-                for t in shifts:
-                    if s and not t:
-                        continue
-                    (a, b), (c, d) = bounds[i], bounds[j]
-                    if a + s >= 0 and d + t <= n:
-                        out.add(_key(space, length, i, j, form[a + s : b + s], form[c + t : d + t]))
+    for length in (n, n - 1, n + 1) if longer else (n, n - 1):
+        if length >= SHORTEST:
+            bounds = _bounds(length)
+            out.update(_key(space, length, i, form[:a], form[b + n - length :]) for i, ((a, _), (_, b)) in enumerate(zip(bounds, bounds[1:])))
     return out
 
 
