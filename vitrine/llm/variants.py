@@ -3,8 +3,7 @@
 Every name is read into forms (order, romanisation, abbreviations and nicknames normalised; see ``names``). A form is
 cut into twelve segments. One edit spoils one of them, or two neighbours if a swap straddles a cut, and all others stay
 whole; what is left without two neighbours is a key of the inverted index, looked up with the letters behind the gap
-shifted by what an insertion or deletion moves. A surname that many share is never a key by itself, so candidates grow
-with the names and not with their square. Candidates are verified by banded edit distance and by what else is
+shifted by what an insertion or deletion moves. So a surname that many share is no key by itself. Candidates are verified by banded edit distance and by what else is
 known: years, given names, middle initials. Names with a year meet only within that year, which also lets surname and
 initials stand for a person; a name without years joins the nearest dated one only if there is no second as near.
 Verified links make connected components.
